@@ -12,6 +12,8 @@ import logging
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from filmloom.session import cut_lineage
+
 log = logging.getLogger(__name__)
 
 # Rows one sort task may hold before a group is spread over hash buckets.
@@ -144,6 +146,23 @@ def index_ids(df: DataFrame, key: str, index: str = "idx", hex_digits: int = 3)
     )
 
 
+def global_positions(df: DataFrame, order_by: list[Column], position: str = "position") -> DataFrame:
+    """1-based position of every row in a total order, by a distributed sort.
+
+    The sorted rows are checkpointed so that both passes see the same partitions;
+    the offsets are one row per partition.
+    """
+    ordered = cut_lineage(df.orderBy(*order_by)).withColumn("_mid", F.monotonically_increasing_id())
+    ordered = ordered.withColumn("_pid", F.shiftright("_mid", 33))
+    sizes = ordered.groupBy("_pid").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select("_pid", F.coalesce(before, F.lit(0)).alias("_before"))
+    within = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
+    return ordered.join(F.broadcast(offsets), "_pid").select(
+        *df.columns, (F.col("_before") + within + 1).alias(position)
+    )
+
+
 def exclude_items(df: DataFrame, excluded: DataFrame, on: str | list[str] = "movie_id") -> DataFrame:
     return df.join(excluded, on, "left_anti")
 
