@@ -51,14 +51,16 @@ def sum_vectors(
     map-side partial sums, so a key holding a large share of the rows sends one
     partial vector per task instead of its rows.
     """
-    factor = F.col(weight).cast("double") if weight else F.lit(1.0)
-    parts = [F.sum(F.col(vec)[i].cast("double") * factor).alias(f"_s{i}") for i in range(size)]
-    total = F.sum(factor).alias("_total")
-    summed = df.groupBy(*keys).agg(total, *parts, *(extra or []))
-    divisor = F.when(F.col("_total") != 0, F.col("_total")) if average else F.lit(1.0)
-    vector = F.array(*[F.col(f"_s{i}") / divisor for i in range(size)]).alias(vec)
-    kept = [c for c in summed.columns if c != "_total" and not (c.startswith("_s") and c[2:].isdigit())]
-    return summed.select(*kept, vector)
+    factor = f"CAST(`{weight}` AS DOUBLE)" if weight else "1D"
+    times = f" * {factor}" if weight else ""
+    # Text expressions: one parse per component instead of several column objects.
+    parts = [F.expr(f"sum(CAST(`{vec}`[{i}] AS DOUBLE){times})").alias(f"_s{i}") for i in range(size)]
+    total = [F.expr(f"sum({factor})").alias("_total")] if average else []
+    summed = df.groupBy(*keys).agg(*total, *parts, *(extra or []))
+    divide = " / nullif(_total, 0D)" if average else ""
+    vector = F.expr(f"array({', '.join(f'_s{i}{divide}' for i in range(size))})").alias(vec)
+    inner = {"_total", *(f"_s{i}" for i in range(size))}
+    return summed.select(*[c for c in summed.columns if c not in inner], vector)
 
 
 def mean_vector(df: DataFrame, key: str, vec: str, weight: str | None = None, size: int | None = None) -> DataFrame:

@@ -109,19 +109,23 @@ def train_svd(
     basis = hashed_normal(pairs.select("movie_id").distinct(), "movie_id", size, 1.0, seed)
     values = np.zeros(k)
     for done in range(1, max_rounds + 1):
-        by_user = spread(pairs, basis, "movie_id", "user_id", size, n_items)
-        image = cut_lineage(spread(pairs, by_user, "user_id", "movie_id", size, n_users))
+        image = basis
+        # Two products per round: each squares the gap between wanted and unwanted values.
+        for _ in range(2):
+            by_user = spread(pairs, image, "movie_id", "user_id", size, n_items)
+            image = cut_lineage(spread(pairs, by_user, "user_id", "movie_id", size, n_users))
         eigenvalues, eigenvectors = np.linalg.eigh(gram(image, size))
         order = np.argsort(eigenvalues)[::-1]
         eigenvalues, eigenvectors = np.maximum(eigenvalues[order], 0.0), eigenvectors[:, order]
         inverse = np.where(eigenvalues > 1e-14 * eigenvalues[0], 1.0 / np.sqrt(np.maximum(eigenvalues, 1e-300)), 0.0)
-        basis = cut_lineage(times_matrix(image, "movie_id", eigenvectors * inverse))
-        # The image of an orthonormal basis under A'A has squared values.
-        estimate = np.sqrt(np.sqrt(eigenvalues))[:k]
+        basis = times_matrix(image, "movie_id", eigenvectors * inverse)
+        # Two products with A'A turn a singular value into its fourth power.
+        estimate = (eigenvalues[:k] ** 0.125)
         settled = done > 1 and np.max(np.abs(estimate - values) / np.maximum(estimate, 1e-12)) < tol
         values = estimate
         if settled:
             break
+    basis = cut_lineage(basis)
     log.info("subspace iteration: %d rounds, leading value %.4f", done, values[0])
     # Rayleigh-Ritz inside the subspace gives the factors and the final values.
     by_user = cut_lineage(spread(pairs, basis, "movie_id", "user_id", size, n_items))

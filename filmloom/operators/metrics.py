@@ -159,5 +159,6 @@ def rating_errors(predicted: DataFrame, rating: str = "rating", estimate: str =
 def comparison_table(long: DataFrame, metrics: list[str]) -> DataFrame:
     """(model, metric, value) -> one row per model; absent metrics show N/A."""
     wide = long.groupBy("model").pivot("metric", metrics).agg(F.first("value"))
-    shown = [F.coalesce(F.format_string("%.4f", F.col(f"`{m}`")), F.lit("N/A")).alias(m) for m in metrics]
+    value = {m: F.col(f"`{m}`") for m in metrics}
+    shown = [F.when(v.isNotNull(), F.format_string("%.4f", v)).otherwise(F.lit("N/A")).alias(m) for m, v in value.items()]
     return wide.select("model", *shown)

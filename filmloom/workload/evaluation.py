@@ -35,7 +35,7 @@ def _two_models(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, Data
 
 @query("load_and_split", with_views(["split"]) + "SELECT user_id, movie_id FROM train")
 def load_and_split(spark: SparkSession, d: str) -> DataFrame:
-    return split(spark, d)[0]
+    return interactions.load_and_split(s.ratings(spark, d))[0]
 
 
 @query(

@@ -9,13 +9,16 @@ from filmloom.functions.coercion import imdb_number
 from filmloom.operators import cleaning, interactions, metrics, quality, relational
 from filmloom.operators.scoring import score_all_pairs
 from filmloom.plans import recommend
+from filmloom.session import cut_lineage
 from filmloom.sources import surrogates as s
 from filmloom.sources.surrogates import with_views
 from filmloom.workload.registry import query
 
 
 def split(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    return interactions.load_and_split(s.ratings(spark, d))
+    """(train, test), stored once: everything downstream reads both several times."""
+    pairs = interactions.binarize_positive(s.ratings(spark, d))
+    return interactions.split_parts(cut_lineage(interactions.label_split(pairs, min_interactions=5)))
 
 
 @query(

@@ -11,6 +11,7 @@ from filmloom.operators.interactions import random_split
 from filmloom.operators.metrics import rating_errors
 from filmloom.plans.recommend import recommend_bpr_content as bpr_lists
 from filmloom.plans.recommend import recommend_factors
+from filmloom.session import cut_lineage
 from filmloom.sources import surrogates as s
 from filmloom.sources.surrogates import with_views
 from filmloom.workload.aggregates import _EDGES_SQL
@@ -43,7 +44,7 @@ SELECT node, round(sum(x) / 4, 9) AS x, round(sum(y) / 4, 9) AS y FROM (
   SELECT * FROM e0 UNION ALL SELECT * FROM e1 UNION ALL SELECT * FROM e2 UNION ALL SELECT * FROM e3) GROUP BY node""",
 )
 def propagate(spark: SparkSession, d: str) -> DataFrame:
-    edges = graph.bipartite_graph(split(spark, d)[0])
+    edges = cut_lineage(graph.bipartite_graph(split(spark, d)[0]))
     node = F.col("node")
     start = edges.select(F.col("dst").alias("node")).distinct().withColumn("vec", F.array(node % 7 / 7.0, node % 11 / 11.0))
     spread = graph.propagate(edges, start, layers=3)
