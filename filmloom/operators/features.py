@@ -51,8 +51,14 @@ def tfidf(
 
 
 def row_l1_normalize(features: DataFrame, key: str, weight: str = "weight") -> DataFrame:
-    total = F.sum(weight).over(Window.partitionBy(key))
-    return features.withColumn(weight, F.col(weight) / F.coalesce(F.nullif(total, F.lit(0.0)), F.lit(1.0)))
+    """Weights of a key divided by their sum (a zero sum counts as 1).
+
+    Sums are partial aggregates joined back, so a key with very many rows is
+    never gathered in one task.
+    """
+    totals = features.groupBy(key).agg(F.sum(weight).alias("_total"))
+    share = F.col(weight) / F.coalesce(F.nullif(F.col("_total"), F.lit(0.0)), F.lit(1.0))
+    return features.join(totals, key).withColumn(weight, share).select(*features.columns)
 
 
 def identity_plus_features(items: DataFrame, features: DataFrame, key: str = "movie_id") -> DataFrame:

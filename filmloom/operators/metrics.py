@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from filmloom.operators.interactions import user_interaction_counts
+from filmloom.operators.relational import HOT_GROUP_ROWS
 
 BANDS = [("cold (5-9)", 5, 10), ("light (10-19)", 10, 20), ("heavy (20+)", 20, None)]
 
@@ -120,7 +121,9 @@ def segment_metrics(
     return frame.join(measured, ["model", "segment"], "left").fillna(0, ["n_users"])
 
 
-def user_auc(scores: DataFrame, test: DataFrame, train: DataFrame) -> DataFrame:
+def user_auc(
+    scores: DataFrame, test: DataFrame, train: DataFrame, hot_levels: int = HOT_GROUP_ROWS
+) -> DataFrame:
     """ROC AUC per user from the rank sum of the test items.
 
     Train items are left out of the negatives; ties share their average rank;
@@ -134,17 +137,33 @@ def user_auc(scores: DataFrame, test: DataFrame, train: DataFrame) -> DataFrame:
     marked = evaluated.join(positives, pair, "left").withColumn("_pos", F.coalesce("_pos", F.lit(0)))
     # Equal scores collapse to one row, so ranks need one window over score levels.
     levels = marked.groupBy("user_id", "score").agg(F.count("*").alias("_n"), F.sum("_pos").alias("_p"))
-    order = Window.partitionBy("user_id").orderBy("score")
-    lower = F.sum(F.col("_n") - F.col("_p")).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    won = F.col("_p") * (F.coalesce(lower, F.lit(0)) + (F.col("_n") - F.col("_p")) / 2.0)
+    negatives = F.col("_n") - F.col("_p")
+    # Users with very many levels are cut into score ranges; the negatives of the
+    # ranges below are one number per range. At most rows / hot_levels users are cut.
+    spans = levels.groupBy("user_id").agg(
+        F.count("*").alias("_levels"), F.min("score").alias("_low"), F.max("score").alias("_high")
+    )
+    hot = F.broadcast(spans.where(F.col("_levels") > hot_levels))
+    ranges = F.ceil(F.col("_levels") / F.lit(hot_levels)) * 4
+    part_no = F.floor((F.col("score") - F.col("_low")) / (F.col("_high") - F.col("_low")) * ranges)
+    sliced = levels.join(hot, "user_id", "left").withColumn("_part", F.coalesce(part_no, F.lit(0)))
+    below_parts = Window.partitionBy("user_id").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        levels.join(hot, "user_id")
+        .withColumn("_part", part_no)
+        .groupBy("user_id", "_part")
+        .agg(F.sum(negatives).alias("_neg"))
+        .select("user_id", "_part", F.sum("_neg").over(below_parts).alias("_offset"))
+    )
+    inside = (
+        Window.partitionBy("user_id", "_part").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    lower = F.coalesce(F.sum(negatives).over(inside), F.lit(0)) + F.coalesce("_offset", F.lit(0))
     summed = (
-        levels.withColumn("_won", won)
+        sliced.join(F.broadcast(offsets), ["user_id", "_part"], "left")
+        .withColumn("_won", F.col("_p") * (lower + negatives / 2.0))
         .groupBy("user_id")
-        .agg(
-            F.sum("_won").alias("_won"),
-            F.sum("_p").alias("n_pos"),
-            F.sum(F.col("_n") - F.col("_p")).alias("n_neg"),
-        )
+        .agg(F.sum("_won").alias("_won"), F.sum("_p").alias("n_pos"), F.sum(negatives).alias("n_neg"))
         .where(F.col("n_pos") > 0)
     )
     auc = F.coalesce(F.col("_won") / F.nullif(F.col("n_pos") * F.col("n_neg"), F.lit(0)), F.lit(0.5))

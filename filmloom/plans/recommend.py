@@ -9,11 +9,12 @@ from filmloom.functions.text import genre_list
 from filmloom.functions.vectors import l2_normalize, mean_vector, sum_vectors, vector_size
 from filmloom.models.linear import bounded_broadcast, fold_in
 from filmloom.models.ranking_loss import RankingFactors
-from filmloom.operators.features import document_frequency, sparse_rows
+from filmloom.operators.features import sparse_rows
 from filmloom.operators.interactions import rescale_1_5
 from filmloom.operators.relational import (
     blend_outer,
     global_positions,
+    index_ids,
     rank_score,
     shuffle_key,
     top_k_per_group,
@@ -68,10 +69,8 @@ def recommend_popular(train: DataFrame, k: int = 10) -> DataFrame:
 
 
 def _term_index(weights: DataFrame) -> DataFrame:
-    """(term, idx) over a bounded vocabulary."""
-    return document_frequency(weights.withColumn("tf", F.lit(1))).select(
-        "term", (F.row_number().over(Window.orderBy("term")) - 1).cast("int").alias("idx")
-    )
+    """(term, idx): matrix columns of the terms."""
+    return index_ids(weights, "term").withColumn("idx", F.col("idx").cast("int"))
 
 
 def _with_empty(rows: DataFrame, items: DataFrame, key: str) -> DataFrame:
@@ -94,7 +93,7 @@ def tfidf_profiles(train: DataFrame, item_terms: DataFrame) -> DataFrame:
 
 def recommend_tfidf(train: DataFrame, item_terms: DataFrame, items: DataFrame, k: int = 20) -> DataFrame:
     """Cosine of the user's mean TF-IDF row to every film, seen films left out."""
-    terms = F.broadcast(_term_index(item_terms))
+    terms = _term_index(item_terms)
     profiles = sparse_rows(tfidf_profiles(train, item_terms), "user_id", terms)
     vectors = _with_empty(sparse_rows(item_terms, "movie_id", terms), items, "movie_id")
     return score_all_pairs(profiles, vectors, k, seen=train.select("user_id", "movie_id"))

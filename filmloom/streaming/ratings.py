@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from filmloom.operators.cleaning import valid_rating
-from filmloom.operators.relational import upsert_ratings
+from filmloom.operators.relational import dedup_keep_first
 from filmloom.plans.lifecycle import stage_of
 from filmloom.sources.readers import path_exists
 
@@ -84,29 +84,45 @@ def stream_stage_changes(stream: DataFrame, cold: int = 5, warm: int = 20) -> Da
 
 
 def stream_upsert_ratings(stream: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    """Re-ratings replace: every micro-batch writes the next version of the table.
+    """Re-ratings replace: a micro-batch adds only its own latest ratings.
 
-    Versions are ``table/v=<batch>``; a replayed batch rewrites its own version,
-    so the result is the same after a failure.
+    Batches land in ``table/delta/batch=<id>`` and a replayed batch rewrites its
+    own folder, so the result is the same after a failure. Old values give way
+    when the table is read (``current_ratings``) or compacted.
     """
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        before = f"{table}/v={batch_id - 1}"
-        fresh = upsert_ratings(batch.limit(0), batch)
-        if batch_id > 0 and path_exists(spark, before):
-            fresh = upsert_ratings(spark.read.parquet(before), batch)
-        fresh.write.mode("overwrite").parquet(f"{table}/v={batch_id}")
+    def save(batch: DataFrame, batch_id: int) -> None:
+        latest = dedup_keep_first(batch, ["user_id", "movie_id"], ["ts", "rating"], last=True)
+        latest.write.mode("overwrite").parquet(f"{table}/delta/batch={batch_id}")
 
     return (
-        stream.writeStream.foreachBatch(merge)
+        stream.writeStream.foreachBatch(save)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def latest_version(spark: SparkSession, table: str) -> DataFrame:
-    versions = spark.read.option("basePath", table).parquet(table)
-    newest = versions.agg(F.max("v")).first()[0]
-    return spark.read.parquet(f"{table}/v={newest}")
+def _base_version(spark: SparkSession, table: str) -> int:
+    if not path_exists(spark, f"{table}/base"):
+        return -1
+    return spark.read.parquet(f"{table}/base").agg(F.max("upto")).first()[0]
+
+
+def current_ratings(spark: SparkSession, table: str) -> DataFrame:
+    """The latest rating per (user, film): the newest base and the batches after it."""
+    upto = _base_version(spark, table)
+    # A file-level filter on the partition column: merged batches are not read.
+    rows = spark.read.parquet(f"{table}/delta").where(F.col("batch") > upto)
+    if upto >= 0:
+        base = spark.read.parquet(f"{table}/base").where(F.col("upto") == upto).drop("upto")
+        rows = base.withColumn("batch", F.lit(-1)).unionByName(rows)
+    return dedup_keep_first(rows, ["user_id", "movie_id"], ["ts", "batch", "rating"], last=True).drop("batch")
+
+
+def compact_ratings(spark: SparkSession, table: str) -> int:
+    """Merges all batches so far into a new base; returns the last batch it holds."""
+    upto = spark.read.parquet(f"{table}/delta").agg(F.max("batch")).first()[0]
+    if upto > _base_version(spark, table):
+        current_ratings(spark, table).write.mode("overwrite").parquet(f"{table}/base/upto={upto}")
+    return upto

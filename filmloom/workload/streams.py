@@ -76,4 +76,4 @@ def stream_upsert_ratings(spark: SparkSession, d: str) -> DataFrame:
     folder = f"{shared_folder(spark)}/upsert-{uuid.uuid4().hex}"
     rated = _stream(spark, d).select("user_id", "movie_id", "rating", "ts")
     streaming.stream_upsert_ratings(rated, f"{folder}/table", f"{folder}/checkpoint").awaitTermination()
-    return streaming.latest_version(spark, f"{folder}/table").select("user_id", "movie_id", "rating")
+    return streaming.current_ratings(spark, f"{folder}/table").select("user_id", "movie_id", "rating")
