@@ -112,8 +112,8 @@ def profiles_to_ratings(profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rating and favourite rows of the profiles' maps and lists."""
     rated = profiles.select("email", F.explode("ratings").alias("_movie", "rating"))
     ratings = rated.select("email", F.col("_movie").try_cast("bigint").alias("movie_id"), "rating")
-    favorites = profiles.select("email", F.explode("favorites").cast("bigint").alias("movie_id"))
-    return ratings.where("movie_id IS NOT NULL"), favorites
+    favorites = profiles.select("email", F.explode("favorites").alias("movie_id"))
+    return ratings.where("movie_id IS NOT NULL"), favorites.withColumn("movie_id", F.col("movie_id").cast("bigint"))
 
 
 def preview_table(df: DataFrame, width: int = 30) -> tuple[int, DataFrame]:
