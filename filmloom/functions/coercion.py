@@ -26,8 +26,7 @@ def coerce_id(text: Column) -> Column:
 
     Whole text is cast directly so that keys beyond 2**53 keep every digit.
     """
-    bare = strip(text.cast("string"))
-    whole = F.when(bare.rlike(r"^[+-]?\d+$"), bare.try_cast("bigint"))
+    whole = strip(text.cast("string")).try_cast("bigint")
     return F.coalesce(whole, coerce_numeric(text).try_cast("bigint"))
 
 

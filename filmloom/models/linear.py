@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from filmloom.functions.vectors import mean_vector, sum_vectors
 from filmloom.operators.relational import shuffle_key
-from filmloom.session import cut_lineage
+from filmloom.session import cut_lineage, spread_rows
 
 log = logging.getLogger(__name__)
 
@@ -101,7 +101,7 @@ def train_svd(
     vectors V. Rounds stop once the k leading values change by less than
     ``tol``. Only ``l x l`` matrices reach the driver.
     """
-    pairs = cut_lineage(train.select("user_id", "movie_id").distinct())
+    pairs = cut_lineage(spread_rows(train.select("user_id", "movie_id").distinct()))
     counts = pairs.agg(F.count_distinct("user_id").alias("u"), F.count_distinct("movie_id").alias("i")).first()
     n_users, n_items = counts["u"], counts["i"]
     k = max(1, min(k, min(n_users, n_items) - 1))

@@ -12,7 +12,8 @@ from filmloom.operators.relational import single_row
 
 def term_counts(docs: DataFrame, key: str, text: Column, stop_words: list[str] | None = None) -> DataFrame:
     """(key, term, tf) over whole texts."""
-    words = docs.select(key, F.explode(tokens(text)).alias("term"))
+    # The explicit null filter keeps both uses of the counts the same plan, so they share one shuffle.
+    words = docs.select(key, F.explode(tokens(text)).alias("term")).where(F.col("term").isNotNull())
     stops = english_stop_words() if stop_words is None else stop_words
     if stops:
         words = words.where(~F.col("term").isin(stops))

@@ -1,7 +1,7 @@
 """Best k items per query vector, over all items, without pairing rows.
 
-Query vectors are packed into matrices where they lie (no shuffle), item vectors
-into blocks of a fixed size. A join on the block number brings a query matrix
+Query vectors are packed into matrices where they lie and dealt out evenly, item
+vectors into blocks of a fixed size. A join on the block number brings a query matrix
 and an item block together; one BLAS product then scores the whole tile and only
 the best rows per query leave the task. Item blocks are broadcast while their
 measured size is small and shuffled, with the query side spread over salts,
@@ -20,10 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filmloom.operators.relational import top_k_per_group
+from filmloom.session import spread_rows
 
 BROADCAST_BYTES = 256 << 20
 ITEM_BLOCK_ROWS = 4096
-QUERY_BLOCK_ROWS = 1024
+QUERY_BLOCK_ROWS = 512
 _COLUMN_CHUNK = 2048
 
 
@@ -65,13 +66,16 @@ def _best_mask(scores: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Rows' best ``wanted`` cells; ties at the edge go to the leftmost cells."""
     n_items = scores.shape[1]
     wanted = np.minimum(wanted, n_items)
-    cuts = np.unique(wanted) - 1
-    parted = np.partition(-scores, cuts, axis=1)
-    edge = -parted[np.arange(len(scores)), wanted - 1][:, None]
-    above = scores > edge
-    tied = scores == edge
-    missing = wanted - above.sum(axis=1)
-    return above | (tied & (np.cumsum(tied, axis=1) <= missing[:, None]))
+    cuts = np.unique(n_items - wanted)
+    edge = np.partition(scores, cuts, axis=1)[np.arange(len(scores)), n_items - wanted][:, None]
+    keep = scores >= edge
+    # Only rows with more ties at the edge than places left need a closer look.
+    for row in np.flatnonzero(keep.sum(axis=1) > wanted):
+        above = scores[row] > edge[row]
+        tied = np.flatnonzero(scores[row] == edge[row])[: wanted[row] - above.sum()]
+        above[tied] = True
+        keep[row] = above
+    return keep
 
 
 def _dense_tile(row: dict) -> np.ndarray:
@@ -204,7 +208,7 @@ def score_all_pairs(
         ]
     )
     packed = asked.mapInArrow(_pack_queries(QUERY_BLOCK_ROWS, q_fields), packed_schema)
-    tiles = packed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+    tiles = spread_rows(packed).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
     blocks = _item_blocks(items, item, names, n_blocks)
     if n_bytes <= broadcast_bytes:
         joined = tiles.join(F.broadcast(blocks), "block")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,10 @@ def build_session(app_name: str = "filmloom", master: str | None = None, **conf:
     Cluster-level sizing (executors, memory, shuffle partitions) is left to
     ``spark-submit``; anything passed in ``conf`` wins.
     """
+    # One core per task: a BLAS with its own threads would have tasks fight for cores.
+    os.environ.setdefault("OMP_NUM_THREADS", "1")
     settings = {
+        "spark.executorEnv.OMP_NUM_THREADS": "1",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -48,6 +52,18 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def spread_rows(df: DataFrame) -> DataFrame:
+    """Even partitions for compute-heavy steps.
+
+    Adaptive execution merges small shuffle partitions by their bytes; steps that
+    do much work per byte (matrix products, model passes, repeated joins) want at
+    least one partition per core instead, and hot keys dealt out evenly.
+    """
+    spark = df.sparkSession
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(width)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: iterative jobs neither replay nor lose their history."""
     context = df.sparkSession.sparkContext
