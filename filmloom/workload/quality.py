@@ -44,8 +44,8 @@ SELECT 'keyword_id' AS key, count(DISTINCT keyword_id) AS n_used, count(DISTINCT
   CAST(0 AS BIGINT) AS n_missing, '' AS examples FROM flat
 UNION ALL SELECT 'movie_id', count(DISTINCT movie_id), (SELECT count(DISTINCT vec_id) FROM embeddings),
   count(DISTINCT movie_id) FILTER (movie_id NOT IN (SELECT vec_id FROM embeddings)),
-  (SELECT string_agg(CAST(m AS VARCHAR), ', ' ORDER BY m) FROM
-    (SELECT DISTINCT movie_id AS m FROM flat WHERE movie_id NOT IN (SELECT vec_id FROM embeddings) ORDER BY m LIMIT 20))
+  coalesce((SELECT string_agg(CAST(m AS VARCHAR), ', ' ORDER BY m) FROM
+    (SELECT DISTINCT movie_id AS m FROM flat WHERE movie_id NOT IN (SELECT vec_id FROM embeddings) ORDER BY m LIMIT 20)), '')
 FROM flat""",
 )
 def check_keyword_links(spark: SparkSession, d: str) -> DataFrame:
