@@ -24,6 +24,9 @@ def build_session(app_name: str = "filmloom", master: str | None = None, **conf:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        # The JVM never compiles methods above 8,000 bytes; wide vector sums run
+        # faster outside whole-stage code than in an interpreted method.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         **conf,
     }
     builder = SparkSession.builder.appName(app_name)
