@@ -68,7 +68,9 @@ def english_stop_words() -> list[str]:
         from pyspark.ml.feature import StopWordsRemover
 
         return sorted(StopWordsRemover.loadDefaultStopWords("english"))
-    jar = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))[0]
+    # No session yet: the same list from the library's own archive.
+    homes = [os.path.dirname(pyspark.__file__), os.environ.get("SPARK_HOME", "")]
+    jar = next(j for home in homes for j in glob.glob(os.path.join(home, "jars", "spark-mllib_*.jar")))
     with zipfile.ZipFile(jar) as archive:
         listing = archive.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf-8")
     return sorted(set(listing.split("\n")) - {""})
