@@ -21,6 +21,7 @@ from filmloom.operators.relational import (
     top_n,
 )
 from filmloom.operators.scoring import score_all_pairs
+from filmloom.session import cut_lineage
 
 
 def popular_movies(items: DataFrame, k: int = 10, min_votes: int = 0) -> DataFrame:
@@ -92,7 +93,12 @@ def tfidf_profiles(train: DataFrame, item_terms: DataFrame) -> DataFrame:
 
 
 def recommend_tfidf(train: DataFrame, item_terms: DataFrame, items: DataFrame, k: int = 20) -> DataFrame:
-    """Cosine of the user's mean TF-IDF row to every film, seen films left out."""
+    """Cosine of the user's mean TF-IDF row to every film, seen films left out.
+
+    The term weights are stored first: columns, profiles, item rows and the size
+    check all read them.
+    """
+    item_terms = cut_lineage(item_terms)
     terms = _term_index(item_terms)
     profiles = sparse_rows(tfidf_profiles(train, item_terms), "user_id", terms)
     vectors = _with_empty(sparse_rows(item_terms, "movie_id", terms), items, "movie_id")
