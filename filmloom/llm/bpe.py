@@ -25,7 +25,7 @@ SEP, SPACE, WHITE, NUMBER, OTHER, QUOTE, LETTER, SHORT, R, V, L, E = range(12)
 START, S_SPACE, S_WHITE, S_NUMBER, S_OTHER, S_QUOTE, S_LETTER, S_R, S_V, S_L, S_DONE = range(11)
 
 SLICE_BYTES = 2 << 20
-CACHE_PIECES = 1 << 19
+CACHE_PIECES = 1 << 18
 SHORT_PIECE = 48
 #: A lone surrogate occurs in no text, so it can part the pieces.
 CUT = 0xD800

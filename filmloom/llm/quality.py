@@ -72,7 +72,7 @@ def with_counts(df: DataFrame, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pattern = re.compile(WORD)
-        for part in slices(batches, text, 4 << 20):
+        for part in slices(batches, text, 1 << 20):
             rows = [text_counts(x or "", pattern) for x in part.column(text).to_pylist()]
             counts = [pa.array(x, pa.int64()) for x in zip(*rows)]
             yield pa.RecordBatch.from_arrays([*map(part.column, keep), *counts], names=[*keep, *COUNTS])

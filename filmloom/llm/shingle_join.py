@@ -46,7 +46,7 @@ def _mix(x: np.ndarray, factor: int) -> np.ndarray:
 
 class WordHash(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1 << 19:
+        if len(self) >= 1 << 17:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -131,7 +131,7 @@ def features(docs: DataFrame, key: str, text: str) -> DataFrame:
         words_of = re.compile(WORD_BYTES)
         hashes = worker_cache("word_hashes", WordHash)
         bands: dict[int, list[tuple[int, int]]] = {}
-        for part in slices(batches, "_text", 4 << 20):
+        for part in slices(batches, "_text", 1 << 20):
             sizes, classes, checks, sketches, names = [], [], [], [], []
             for t in part.column("_text").to_pylist():
                 values = shingles(t, words_of, hashes)
@@ -228,7 +228,9 @@ def propose(groups: DataFrame, classes: DataFrame, labels: DataFrame, most: int
         if len(held) > 1:
             yield out(_group_pairs(held, most))
 
-    spread = dealt.select(*names).repartition("signature", "low", "high").sortWithinPartitions("signature", "low", "high")
+    width = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = dealt.select(*names).repartition(width, "signature", "low", "high")  # even: much work for few bytes
+    spread = spread.sortWithinPartitions("signature", "low", "high")
     return spread.mapInArrow(run, PAIRS).distinct()
 
 
