@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filmloom.llm import bpe, mixing, quality, secrets, shingle_join
+from filmloom.llm import (
+    bpe,
+    license_scan,
+    mixing,
+    quality,
+    secrets,
+    sentence_dedup,
+    shingle_join,
+    suffix_dedup,
+    topk,
+    training_order,
+)
 from filmloom.llm.common import WORD, Scratch, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +104,50 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return secrets.scan(docs).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+@query("op2_sentence_dedup")
+def op2_sentence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentence_dedup.without_repeats(docs).select("doc_id", "n_sentences", "n_removed", "n_spans", "text")
+
+
+@query("op3_training_order")
+def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    places = training_order.materialise(docs, vocabulary())
+    return places.select("doc_id", "slot", "shard", "first_token", "n_tokens")
+
+
+TOP_K_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM p) WHERE rank <= 5
+"""
+
+
+@query("op7_exact_top_k", TOP_K_SQL)
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_top_k(read(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
+@query("op8_license_scan")
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_scan.scan(docs).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
+
+
+@query("op5_suffix_dedup")
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    whole = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    docs = docs.withColumn("_whole", whole)  # beside the scan, so that no text needs to move for it
+    found = suffix_dedup.without_repeats(docs, Scratch(spark)).drop("text")
+    kept = F.coalesce(F.sha2("kept", 256), F.col("_whole")).alias("kept_sha256")
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", kept)
