@@ -279,7 +279,8 @@ def solve(rows: DataFrame, scratch: Scratch, length: int, level: int = 0) -> Dat
             for parts in batch.column("parts").to_pylist():
                 whole = np.zeros(max(p["at"] + p["n"] for p in parts), bool)
                 for p in parts:
-                    whole[p["at"] : p["at"] + p["n"]] = np.unpackbits(np.frombuffer(p["mask"], np.uint8))[: p["n"]]
+                    bits = np.unpackbits(np.frombuffer(p["mask"], np.uint8))[: p["n"]]
+                    whole[p["at"] : p["at"] + len(bits)] = bits  # a mask ends with its last block that was not alone
                 masks.append(np.packbits(whole).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("parent"), batch.column("parent_same"), pa.array(masks, pa.binary())], names=["key", "same", "mask"]
