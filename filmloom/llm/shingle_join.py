@@ -26,6 +26,8 @@ from filmloom.llm.common import Scratch, slices, worker_cache
 #: Similarity as a fraction, so that every bound is exact in integers.
 NUMERATOR, DENOMINATOR = 9, 10
 SKETCH_BITS = 256
+#: Before whole texts move, pairs are held against a longer sketch, which tells large sets apart as well.
+WIDE_BITS = 4096
 #: Stands for a null id where rows are looked up again.
 NO_ID = 2**63 - 1
 #: Classes of one signature that are compared at once; larger groups are cut into blocks, compared block by block.
@@ -106,10 +108,10 @@ def signatures(values: np.ndarray, limits: list[tuple[int, int]]) -> np.ndarray:
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
-def parity(values: np.ndarray) -> bytes:
+def parity(values: np.ndarray, bits: int = SKETCH_BITS) -> bytes:
     """A bit per slot: whether an odd number of elements fall into it. One differing element changes one bit."""
-    slot = (_mix(values, 0xE7037ED1A0B428DB) >> np.uint64(40)) % np.uint64(SKETCH_BITS)
-    odd = np.bincount(slot.astype(np.int64), minlength=SKETCH_BITS) & 1
+    slot = (_mix(values, 0xE7037ED1A0B428DB) >> np.uint64(40)) % np.uint64(bits)
+    odd = np.bincount(slot.astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
@@ -186,9 +188,9 @@ def _group_pairs(members: list[tuple], most: int | None) -> set[tuple[int, int]]
     return found
 
 
-def propose(groups: DataFrame, classes: DataFrame, labels: DataFrame, most: int | None) -> DataFrame:
+def propose(groups: DataFrame, classes: DataFrame, labels: DataFrame | None, most: int | None) -> DataFrame:
     """Candidate pairs of all groups whose classes are not joined yet; a hot group is dealt out as pairs of blocks."""
-    rows = groups.join(labels, "class")
+    rows = groups.join(labels, "class") if labels is not None else groups.withColumn("component", F.col("class"))
     open_groups = (
         rows.groupBy("signature")
         .agg(F.count(F.lit(1)).alias("_n"), F.min("component").alias("_low"), F.max("component").alias("_high"))
@@ -234,6 +236,38 @@ def propose(groups: DataFrame, classes: DataFrame, labels: DataFrame, most: int
     return spread.mapInArrow(run, PAIRS).distinct()
 
 
+def with_wide_sketch(texts: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words_of = re.compile(WORD_BYTES)
+        hashes = worker_cache("word_hashes", WordHash)
+        for part in slices(batches, "text", 1 << 20):
+            wide = [parity(shingles(t, words_of, hashes), WIDE_BITS) for t in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(wide, pa.binary())], names=[*part.schema.names, "wide"])
+
+    return texts.mapInArrow(run, T.StructType([*texts.schema, T.StructField("wide", T.BinaryType())]))
+
+
+def plausible(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs whose long sketches differ in no more bits than linked sets may."""
+
+    def side(name: str, key: str) -> DataFrame:
+        return texts.select(F.col("class").alias(key), F.col("n_shingles").alias(f"_n{name}"), F.col("wide").alias(f"_w{name}"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 2048):
+                batch = whole.slice(start, 2048)
+                one, two = (
+                    np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("_wa", "_wb")
+                )
+                apart = np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64)
+                total = batch.column("_na").to_numpy() + batch.column("_nb").to_numpy()
+                good = apart * (DENOMINATOR + NUMERATOR) <= total * (DENOMINATOR - NUMERATOR)
+                yield batch.select(["a", "b"]).filter(pa.array(good))
+
+    return pairs.join(side("a", "a"), "a").join(side("b", "b"), "b").mapInArrow(run, PAIRS)
+
+
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose whole texts reach the threshold, compared as sets of word tuples."""
     left = texts.select(F.col("class").alias("a"), F.col("text").alias("_left"))
@@ -313,23 +347,24 @@ def similar_classes(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text
     own = scratch.save(own, "rows")
     scratch.drop("features", "pairs-of-signature")
 
-    wanted = members.select("class", F.col("row.id").alias("_id"), F.col("row.text_hash").alias("_hash"))
+    wanted = members.select("class", "n_shingles", F.col("row.id").alias("_id"), F.col("row.text_hash").alias("_hash"))
     named_rows = docs.select(
         F.coalesce(docs[key].cast("long"), F.lit(NO_ID)).alias("_id"), F.xxhash64(docs[text]).alias("_hash"), docs[text].alias("text")
     )
-    texts = named_rows.join(wanted, ["_id", "_hash"]).select("class", "text").dropDuplicates(["class"])
+    texts = named_rows.join(wanted, ["_id", "_hash"]).select("class", "n_shingles", "text").dropDuplicates(["class"])
     labels = members.select("class", F.col("class").alias("component"))
     texts_saved, links, tested = None, None, None
     for turn, most in enumerate(ROUNDS):
-        pairs = propose(groups, members, labels, most)
+        pairs = propose(groups, members, labels if turn else None, most)  # at first every class is a component
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = scratch.save(pairs, f"pairs-{turn}")
         if not pairs.limit(1).count():
             continue
         if texts_saved is None:
-            texts_saved = scratch.save(texts, "texts")
-        good = scratch.save(verify(pairs, texts_saved), f"good-{turn}")
+            texts_saved = scratch.save(with_wide_sketch(texts), "texts")
+        close = scratch.save(plausible(pairs, texts_saved), f"close-{turn}")
+        good = scratch.save(verify(close, texts_saved), f"good-{turn}")
         tested = pairs if tested is None else tested.union(pairs)
         links = good if links is None else links.union(good)
         labels = components(links, labels, scratch, f"components-{turn}")
