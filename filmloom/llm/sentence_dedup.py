@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from filmloom.llm.common import slices
+from filmloom.llm.common import Scratch, slices
 
 SENTENCES, RUN_WORDS = 2, 20
 #: Ends of sentences: white space after a closing mark, or a line break.
@@ -72,8 +72,10 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     spots = places(docs.select(F.col(text).alias("_text"), *[c.alias(n) for n, c in identity.items()]), least, words)
     place = F.struct("id", "text_hash", "first")
     seen = spots.groupBy("run").agg(F.min(place).alias("origin"), F.max(place).alias("latest")).where("origin <> latest")
+    # A table of its own: the join can then split hot runs.
+    seen = Scratch(docs.sparkSession).save(seen.select("run", "origin"), "seen")
     later = (
-        spots.join(seen.select("run", "origin"), "run")
+        spots.join(seen, "run")
         .where(place != F.col("origin"))
         .groupBy("id", "text_hash")
         .agg(F.collect_set(F.struct("first", "stop")).alias("_runs"))

@@ -337,6 +337,7 @@ def similar_classes(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text
     classes = scratch.save(classes, "classes").drop("_same")
     each = rows.select("class", F.explode("signatures").alias("signature"))
     shared = each.groupBy("signature").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("signature")
+    shared = scratch.save(shared, "shared")  # a table of its own: the join can then split hot signatures
     groups = scratch.save(each.join(shared, "signature", "left_semi").distinct(), "pairs-of-signature")
     sizes = groups.groupBy("signature").agg(F.count(F.lit(1)).alias("_size")).where("_size > 1")
     scores = groups.join(sizes, "signature").groupBy("class").agg(F.sum("_size").alias("score"))

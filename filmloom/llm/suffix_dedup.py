@@ -318,6 +318,7 @@ def without_repeats(docs: DataFrame, scratch: Scratch, text: str = "text", lengt
     rows = docs.select(place.alias("_row"), docs[text].alias("_text"))
     each = _key_rows(rows, length)
     shared = each.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("key")
+    shared = scratch.save(shared, "shared")  # a table of its own: the join can then split hot keys
     own = each.join(shared, "key", "left_semi").groupBy("row").agg(F.collect_list(F.struct("key", "span")).alias("runs"))
     texts = scratch.save(rows.join(own, rows["_row"] == own["row"]).select("row", "_text", "runs"), "texts")
 
