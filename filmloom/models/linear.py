@@ -91,7 +91,7 @@ def train_svd(
     train: DataFrame,
     k: int = 50,
     tol: float = 1e-3,
-    max_rounds: int = 30,
+    max_rounds: int = 200,
     oversample: int = 10,
     seed: int = 42,
 ) -> tuple[DataFrame, DataFrame, list[float]]:
@@ -99,7 +99,7 @@ def train_svd(
 
     Returns (users, items, singular values) with user vectors U*S and item
     vectors V. Rounds stop once the k leading values change by less than
-    ``tol``. Only ``l x l`` matrices reach the driver.
+    ``tol``; without that in ``max_rounds`` there is an error. Only ``l x l`` matrices reach the driver.
     """
     pairs = cut_lineage(spread_rows(train.select("user_id", "movie_id").distinct()))
     counts = pairs.agg(F.count_distinct("user_id").alias("u"), F.count_distinct("movie_id").alias("i")).first()
@@ -125,6 +125,8 @@ def train_svd(
         values = estimate
         if settled:
             break
+    else:
+        raise RuntimeError(f"no convergence to {tol} in {max_rounds} rounds; raise max_rounds or tol")
     basis = cut_lineage(basis)
     log.info("subspace iteration: %d rounds, leading value %.4f", done, values[0])
     # Rayleigh-Ritz inside the subspace gives the factors and the final values.

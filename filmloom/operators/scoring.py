@@ -28,10 +28,6 @@ QUERY_BLOCK_ROWS = 512
 _COLUMN_CHUNK = 2048
 
 
-def _offsets(column: pa.ListArray) -> np.ndarray:
-    return np.asarray(column.offsets) - column.offsets[0].as_py() if len(column) else np.zeros(1, dtype=np.int64)
-
-
 def _pack_queries(rows: int, fields: list[str]):
     """Arrow batches of query rows -> rows holding up to ``rows`` queries each."""
 
@@ -39,7 +35,7 @@ def _pack_queries(rows: int, fields: list[str]):
         for batch in batches:
             for start in range(0, batch.num_rows, rows):
                 piece = batch.slice(start, rows)
-                out = {"q_ids": [piece.column(0).to_pylist()], "q_extra": [piece.column(1).to_pylist()]}
+                out = {"q_ids": [piece.column(0).to_pylist()], "q_seen": [piece.column(1).to_pylist()]}
                 first = piece.column(2)
                 out["q_lens"] = [np.diff(np.asarray(first.offsets)).astype("int32")]
                 for name, column in zip(fields, piece.columns[2:]):
@@ -49,7 +45,7 @@ def _pack_queries(rows: int, fields: list[str]):
                     schema=pa.schema(
                         [
                             ("q_ids", pa.list_(piece.column(0).type)),
-                            ("q_extra", pa.list_(pa.int64())),
+                            ("q_seen", pa.list_(piece.column(1).type)),
                             ("q_lens", pa.list_(pa.int32())),
                             *[
                                 (n, pa.list_(c.type.value_type))
@@ -62,22 +58,31 @@ def _pack_queries(rows: int, fields: list[str]):
     return pack
 
 
-def _best_mask(scores: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Rows' best ``wanted`` cells; ties at the edge go to the leftmost cells."""
+def _best_mask(scores: np.ndarray, wanted: int) -> np.ndarray:
+    """Rows' best ``wanted`` cells; ties at the edge go to the leftmost cells, masked cells never count."""
     n_items = scores.shape[1]
-    wanted = np.minimum(wanted, n_items)
-    cuts = np.unique(n_items - wanted)
-    edge = np.partition(scores, cuts, axis=1)[np.arange(len(scores)), n_items - wanted][:, None]
-    keep = scores >= edge
+    wanted = min(wanted, n_items)
+    edge = np.partition(scores, n_items - wanted, axis=1)[:, n_items - wanted][:, None]
+    keep = (scores >= edge) & (scores > -np.inf)
     # Only rows with more ties at the edge than places left need a closer look.
     for row in np.flatnonzero(keep.sum(axis=1) > wanted):
         above = scores[row] > edge[row]
-        tied = np.flatnonzero(scores[row] == edge[row])[: wanted[row] - above.sum()]
+        tied = np.flatnonzero(scores[row] == edge[row])[: wanted - above.sum()]
         above[tied] = True
         keep[row] = above
     return keep
 
 
+def _mask_seen(scores: np.ndarray, i_ids: np.ndarray, seen: pa.ListArray) -> None:
+    """Takes each query's seen items of this block out of the running; item ids are sorted."""
+    owner = np.repeat(np.arange(len(seen)), np.diff(np.asarray(seen.offsets)))
+    ids = seen.flatten().to_numpy(zero_copy_only=False)
+    if len(ids):
+        place = np.minimum(np.searchsorted(i_ids, ids), len(i_ids) - 1)
+        present = i_ids[place] == ids
+        scores[owner[present], place[present]] = -np.inf
+
+
 def _dense_tile(row: dict) -> np.ndarray:
     queries = row["q_vec"].reshape(len(row["q_ids"]), -1)
     items = row["i_vec"].reshape(len(row["i_ids"]), -1)
@@ -113,6 +118,7 @@ def _score_tiles(k: int, digits: int, sparse: bool, names: list[str], out_schema
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [batch.column(name) for name in names]
+            masks = batch.column("q_seen")
             for at in range(batch.num_rows):
                 row = {
                     name: column[at].values.to_numpy(zero_copy_only=False)
@@ -121,7 +127,8 @@ def _score_tiles(k: int, digits: int, sparse: bool, names: list[str], out_schema
                 if not len(row["q_ids"]) or not len(row["i_ids"]):
                     continue
                 scores = np.round(tile(row), digits) + 0.0
-                keep = _best_mask(scores, k + row["q_extra"])
+                _mask_seen(scores, row["i_ids"], masks[at].values)
+                keep = _best_mask(scores, k)
                 q_at, i_at = np.nonzero(keep)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -139,11 +146,15 @@ def _field(name: str):
     return lambda row: row[name]
 
 
+def _block_of(item: str, n_blocks: int) -> Column:
+    return F.pmod(F.xxhash64(item), F.lit(n_blocks)).cast("int")
+
+
 def _item_blocks(items: DataFrame, item: str, fields: list[str], n_blocks: int) -> DataFrame:
     """Blocks of about equal size: keys are distinct and placed by hash."""
     members = F.sort_array(F.collect_list(F.struct(item, *fields)))
     packed = (
-        items.select(F.pmod(F.xxhash64(item), F.lit(n_blocks)).cast("int").alias("block"), item, *fields)
+        items.select(_block_of(item, n_blocks).alias("block"), item, *fields)
         .groupBy("block")
         .agg(members.alias("_m"))
     )
@@ -174,8 +185,9 @@ def score_all_pairs(
     ``idx`` and ``val`` arrays instead. Scores are rounded before ranking and
     ties go to the lower item id, so results do not depend on the tiling.
 
-    ``seen`` (query, item) pairs are left out exactly: each tile returns as many
-    extra rows as its query has seen items, and an anti join removes them.
+    ``seen`` (query, item) pairs are left out exactly: they are gathered by query
+    and item block, travel with the query, and are masked inside the tile, so a tile
+    never returns more than ``k`` rows per query.
     """
     sparse = vec not in queries.columns
     fields = ["idx", "val"] if sparse else [vec]
@@ -185,21 +197,25 @@ def score_all_pairs(
     n_bytes = measured["cells"] * (12 if sparse else 8) + measured["n"] * 12
     n_blocks = max(1, math.ceil(measured["n"] / block_rows))
 
-    extra: Column = F.lit(0).cast("bigint")
+    q_type = queries.schema[query].dataType
+    i_type = items.schema[item].dataType
+    seen_type = f"array<struct<block:int,ids:array<{i_type.simpleString()}>>>"
+    none = F.expr(f"cast(array() as {seen_type})")
     asked = queries.select(F.col(query), *[F.col(f).alias(n) for f, n in zip(fields, names)])
+    masked: Column = none
     if seen is not None:
-        per_query = seen.groupBy(query).agg(F.count("*").alias("_extra"))
+        own = seen.select(query, F.col(item).cast(i_type).alias("_item")).where(F.col("_item").isNotNull())
+        own = own.withColumn("block", _block_of("_item", n_blocks))
+        by_block = own.groupBy(query, "block").agg(F.collect_set("_item").alias("ids"))
+        per_query = by_block.groupBy(query).agg(F.collect_list(F.struct("block", "ids")).alias("_seen"))
         asked = asked.join(per_query, query, "left")
-        extra = F.coalesce(F.col("_extra"), F.lit(0)).cast("bigint")
-    asked = asked.select(query, extra.alias("_extra"), *names)
-
-    q_type = queries.schema[query].dataType
-    i_type = items.schema[item].dataType
+        masked = F.coalesce(F.col("_seen").cast(seen_type), none)
+    asked = asked.select(query, masked.alias("_seen"), *names)
     q_fields = [f"q_{n}" for n in names]
     packed_schema = T.StructType(
         [
             T.StructField("q_ids", T.ArrayType(q_type)),
-            T.StructField("q_extra", T.ArrayType(T.LongType())),
+            T.StructField("q_seen", T.ArrayType(asked.schema["_seen"].dataType)),
             T.StructField("q_lens", T.ArrayType(T.IntegerType())),
             *[
                 T.StructField(f, asked.schema[n].dataType)
@@ -209,6 +225,10 @@ def score_all_pairs(
     )
     packed = asked.mapInArrow(_pack_queries(QUERY_BLOCK_ROWS, q_fields), packed_schema)
     tiles = spread_rows(packed).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+    here = F.transform(
+        "q_seen", lambda s: F.flatten(F.transform(F.filter(s, lambda e: e["block"] == F.col("block")), lambda e: e["ids"]))
+    )
+    tiles = tiles.withColumn("q_seen", here)  # a tile gets only what was seen of its own block
     blocks = _item_blocks(items, item, names, n_blocks)
     if n_bytes <= broadcast_bytes:
         joined = tiles.join(F.broadcast(blocks), "block")
@@ -219,7 +239,7 @@ def score_all_pairs(
         copies = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         joined = salted.join(copies.hint("shuffle_merge"), ["block", "salt"])
 
-    needed = ["q_ids", "q_extra", "q_lens", *q_fields, "i_ids", "i_lens", *[f"i_{n}" for n in names]]
+    needed = ["q_ids", "q_lens", *q_fields, "i_ids", "i_lens", *[f"i_{n}" for n in names]]
     out_schema = T.StructType(
         [T.StructField(query, q_type), T.StructField(item, i_type), T.StructField(score, T.DoubleType())]
     )
@@ -231,7 +251,5 @@ def score_all_pairs(
             (score, pa.float64()),
         ]
     )
-    best = joined.select(*needed).mapInArrow(_score_tiles(k, digits, sparse, needed, arrow_out), out_schema)
-    if seen is not None:
-        best = best.join(seen.select(query, item), [query, item], "left_anti")
+    best = joined.select(*needed, "q_seen").mapInArrow(_score_tiles(k, digits, sparse, needed, arrow_out), out_schema)
     return top_k_per_group(best, query, [F.desc(score), F.asc(item)], k).select(query, item, score, "rank")

@@ -15,7 +15,9 @@ def _as_text(df: DataFrame) -> DataFrame:
     for field in df.schema:
         column = F.col(field.name)
         if isinstance(field.dataType, T.ArrayType):
-            quoted = F.transform(column, lambda x: F.concat(F.lit("'"), x.cast("string"), F.lit("'")))
+            # Backslashes and quotes are escaped, as the list reader undoes them.
+            safe = lambda x: F.regexp_replace(x.cast("string"), r"([\\'])", r"\\$1")
+            quoted = F.transform(column, lambda x: F.concat(F.lit("'"), safe(x), F.lit("'")))
             column = F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]")).alias(field.name)
         shown.append(column)
     return df.select(*shown)

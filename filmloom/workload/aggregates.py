@@ -337,7 +337,7 @@ def upsert_ratings(spark: SparkSession, d: str) -> DataFrame:
     + """SELECT user_id, movie_id FROM (
   SELECT user_id, movie_id FROM train UNION ALL
   SELECT user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) FROM events UNION ALL
-  SELECT user_id, movie_id FROM ratings_s WHERE rating = 5.0)
+  SELECT user_id, movie_id FROM ratings_s)
 GROUP BY 1, 2 HAVING count(*) % 2 = 1""",
 )
 def toggle_favorites(spark: SparkSession, d: str) -> DataFrame:
@@ -345,5 +345,5 @@ def toggle_favorites(spark: SparkSession, d: str) -> DataFrame:
     clicks = s.rating_events(spark, d).select(
         "user_id", F.get_json_object("props", "$.k").cast("bigint").alias("movie_id")
     )
-    again = s.ratings(spark, d).where("rating = 5.0").select("user_id", "movie_id")
+    again = s.ratings(spark, d).select("user_id", "movie_id")
     return relational.toggle_favorites(train, clicks.unionByName(again))

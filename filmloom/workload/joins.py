@@ -79,14 +79,14 @@ def semi_join_active_users(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "semi_join_mutual",
     with_views(["ratings", "movies"])
-    + """, films AS (SELECT movie_id FROM movies_s WHERE genre_names LIKE 'ECONOMY%'),
-rated AS (SELECT movie_id FROM films WHERE movie_id IN (SELECT movie_id FROM ratings_s WHERE rating >= 4.5))
+    + """, films AS (SELECT vec_id AS movie_id FROM embeddings),
+rated AS (SELECT movie_id FROM films WHERE movie_id IN (SELECT movie_id FROM ratings_s))
 SELECT movie_id, count(*) AS n_ratings FROM ratings_s
-WHERE rating >= 4.5 AND movie_id IN (SELECT movie_id FROM rated) GROUP BY movie_id""",
+WHERE movie_id IN (SELECT movie_id FROM rated) GROUP BY movie_id""",
 )
 def semi_join_mutual(spark: SparkSession, d: str) -> DataFrame:
-    films = s.movies(spark, d).where(F.col("genre_names").startswith("ECONOMY")).select("movie_id")
-    _, kept = cleaning.semi_join_mutual(films, s.ratings(spark, d).where("rating >= 4.5"))
+    films = s.table(spark, d, "embeddings").select(F.col("vec_id").alias("movie_id"))
+    _, kept = cleaning.semi_join_mutual(films, s.ratings(spark, d))
     return kept.groupBy("movie_id").agg(F.count("*").alias("n_ratings"))
 
 
@@ -144,7 +144,7 @@ def score_pairs(spark: SparkSession, d: str) -> DataFrame:
     "blend_outer",
     with_views(["split"])
     + """, a AS (SELECT user_id, movie_id, 1.0::DOUBLE AS collab FROM train),
-b AS (SELECT user_id, movie_id, rating AS content FROM ratings_s WHERE rating <= 3.5)
+b AS (SELECT user_id, movie_id, rating AS content FROM ratings_s)
 SELECT coalesce(a.user_id, b.user_id) AS user_id, coalesce(a.movie_id, b.movie_id) AS movie_id,
   coalesce(collab, 0) AS collab, coalesce(content, 0) AS content
 FROM a FULL JOIN b ON a.user_id = b.user_id AND a.movie_id = b.movie_id""",
@@ -152,7 +152,7 @@ FROM a FULL JOIN b ON a.user_id = b.user_id AND a.movie_id = b.movie_id""",
 def blend_outer(spark: SparkSession, d: str) -> DataFrame:
     train, _ = split(spark, d)
     left = train.withColumn("collab", F.lit(1.0))
-    right = s.ratings(spark, d).where("rating <= 3.5").select("user_id", "movie_id", F.col("rating").alias("content"))
+    right = s.ratings(spark, d).select("user_id", "movie_id", F.col("rating").alias("content"))
     return relational.blend_outer(left, right, ["user_id", "movie_id"], "collab", "content")
 
 

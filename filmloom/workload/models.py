@@ -98,7 +98,7 @@ def recommend_svd(spark: SparkSession, d: str) -> DataFrame:
 def train_explicit_mf(spark: SparkSession, d: str) -> DataFrame:
     """Fit on the train part of a random split, errors on the rest."""
     marked = random_split(s.ratings(spark, d))
-    model = explicit.train_explicit_mf(marked.where("is_train"), rank=100, epochs=5)
+    model = explicit.train_explicit_mf(marked.where("is_train"), rank=100, epochs=30)
     held_out = marked.where("NOT is_train").select("user_id", "movie_id", "rating")
     return rating_errors(explicit.predict_ratings(model, held_out))
 
@@ -106,7 +106,7 @@ def train_explicit_mf(spark: SparkSession, d: str) -> DataFrame:
 @query("recommend_explicit")
 def recommend_explicit(spark: SparkSession, d: str) -> DataFrame:
     ratings = s.ratings(spark, d)
-    return explicit.recommend_explicit(explicit.train_explicit_mf(ratings, rank=100, epochs=5), ratings, 10)
+    return explicit.recommend_explicit(explicit.train_explicit_mf(ratings, rank=100, epochs=30), ratings, 10)
 
 
 @query("refit_with_user")

@@ -121,14 +121,16 @@ def check_half_star(spark: SparkSession, d: str) -> DataFrame:
     return quality.check_half_star(s.table(spark, d, "events").select(F.col("value").alias("rating")))
 
 
+_COUNTED = "UNION ALL ".join(
+    f"""SELECT '{t}' AS "table", '{c}' AS "column", count({c}) AS n_values FROM {t} """
+    for t, c in (("part", "p_name"), ("lineitem", "l_orderkey"), ("documents", "lang"))
+)
+
+
 @query(
-    "check_columns",
-    """SELECT 'lineitem: missing columns l_comment' AS problem
-UNION ALL SELECT 'shipments: table not found' WHERE (SELECT count(*) FROM part) > 0""",
+    "filled_columns",
+    f"""SELECT * FROM ({_COUNTED}) UNION ALL SELECT 'labels', 'toxic', count(toxic) FROM labels""",
 )
-def check_columns(spark: SparkSession, d: str) -> DataFrame:
-    tables = {name: s.table(spark, d, name) for name in ("part", "lineitem")}
-    expected = {"part": ["p_partkey", "p_name"], "lineitem": ["l_orderkey", "l_comment"], "shipments": ["id"]}
-    problems = quality.check_columns(tables, expected)
-    listed = tables["part"].agg(F.count("*").alias("n")).where("n > 0")
-    return listed.select(F.explode(F.array(*[F.lit(p) for p in problems])).alias("problem"))
+def filled_columns(spark: SparkSession, d: str) -> DataFrame:
+    chosen = {"part": ["p_name"], "lineitem": ["l_orderkey"], "documents": ["lang"], "labels": ["toxic"]}
+    return quality.filled_columns({t: s.table(spark, d, t).select(*c) for t, c in chosen.items()})

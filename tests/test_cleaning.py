@@ -157,3 +157,14 @@ def test_profiles(spark, tmp_path):
     ratings, favorites = readers.profiles_to_ratings(readers.read_profiles(spark, str(tmp_path / "p.json")))
     assert [(r.movie_id, r.rating) for r in ratings.collect()] == [(862, 4.5)]
     assert sorted(r.movie_id for r in favorites.collect()) == [1, 2]
+
+
+def test_lists_with_quotes_survive_csv(spark, tmp_path):
+    from filmloom.sources.writers import write_table
+
+    names = ["Schindler's List", "back\\slash", 'double "quoted"', "plain"]
+    write_table(spark.createDataFrame([(1, names)], "id int, names array<string>"), str(tmp_path / "t"), "csv")
+    row = spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "t")).first()
+    import ast
+
+    assert ast.literal_eval(row["names"]) == names

@@ -201,7 +201,36 @@ def test_checks(spark):
     assert broken == {("movies", "unique movie_id"): 1, ("movies", "not null movie_id"): 0, ("movies", "not null title"): 1}
     off = quality.check_half_star(ratings).first()
     assert (off.n_off_grid, off.n_out_of_range) == (1, 1)
-    assert "ratings: missing columns movielens_id, timestamp" in quality.check_columns({"movies": movies, "ratings": ratings})
+    found = {(r.table, r.column, r.problem) for r in quality.check_columns({"movies": movies, "ratings": ratings}).collect()}
+    assert {("ratings", "movielens_id", "missing"), ("ratings", "timestamp", "missing")} <= found
     words = spark.createDataFrame([(1, 7), (9, 8)], "movie_id int, keyword_id int")
     with pytest.raises(ValueError):
         quality.check_keyword_links(movies, words.select("keyword_id"), words)
+
+
+def test_tiles_return_no_seen_items(spark):
+    rng = np.random.default_rng(9)
+    items = {i: rng.normal(size=4) for i in range(400)}
+    queries = {1: rng.normal(size=4), 2: rng.normal(size=4), 3: rng.normal(size=4)}
+
+    def frame(vectors, name):
+        return spark.createDataFrame([(i, v.tolist()) for i, v in vectors.items()], f"{name} bigint, vec array<double>")
+
+    order = sorted(items, key=lambda i: -float(queries[1] @ items[i]))
+    seen = {(1, i) for i in order[:390]} | {(2, i) for i in items}
+    got = score_all_pairs(
+        frame(queries, "user_id"), frame(items, "movie_id"), 5, block_rows=50,
+        seen=spark.createDataFrame(sorted(seen), "user_id bigint, movie_id bigint"),
+    )
+    lists = {}
+    for r in got.orderBy("user_id", "rank").collect():
+        lists.setdefault(r.user_id, []).append(r.movie_id)
+    assert lists[1] == order[390:395] and 2 not in lists and len(lists[3]) == 5
+    assert "LeftAnti" not in got._jdf.queryExecution().toString()
+
+
+def test_masked_cells_never_leave_a_tile():
+    from filmloom.operators.scoring import _best_mask
+
+    scores = np.array([[3.0, -np.inf, 1.0, 1.0], [-np.inf] * 4, [2.0, 2.0, 2.0, -np.inf]])
+    assert _best_mask(scores, 2).tolist() == [[True, False, True, False], [False] * 4, [True, True, False, False]]
