@@ -349,7 +349,6 @@ def similar_classes(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text
     scratch.drop("features", "pairs-of-signature")
 
     wanted = members.select("class", "n_shingles", F.col("row.id").alias("_id"), F.col("row.text_hash").alias("_hash"))
-    wanted = scratch.save(wanted, "wanted")  # narrow, so that the planner sees its true size before it moves all texts
     named_rows = docs.select(
         F.coalesce(docs[key].cast("long"), F.lit(NO_ID)).alias("_id"), F.xxhash64(docs[text]).alias("_hash"), docs[text].alias("text")
     )
