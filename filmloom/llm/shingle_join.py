@@ -32,6 +32,9 @@ WIDE_BITS = 4096
 NO_ID = 2**63 - 1
 #: Classes of one signature that are compared at once; larger groups are cut into blocks, compared block by block.
 BLOCK = 1000
+#: Most rows of four numbers that are sent to every executor to pick texts beside the scan (about 40 MB as a hash table);
+#: with more, whole texts are shuffled to them instead. The result is the same.
+PICKED = 500_000
 #: Partners proposed per class and group in each round; the last round proposes all.
 ROUNDS = (1, 4, None)
 WORD_BYTES = rb"[^\x20\x09-\x0D]+"
@@ -349,10 +352,13 @@ def similar_classes(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text
     scratch.drop("features", "pairs-of-signature")
 
     wanted = members.select("class", "n_shingles", F.col("row.id").alias("_id"), F.col("row.text_hash").alias("_hash"))
+    if members.count() <= PICKED:
+        wanted = F.broadcast(wanted)
     named_rows = docs.select(
         F.coalesce(docs[key].cast("long"), F.lit(NO_ID)).alias("_id"), F.xxhash64(docs[text]).alias("_hash"), docs[text].alias("text")
     )
-    texts = named_rows.join(wanted, ["_id", "_hash"]).select("class", "n_shingles", "text").dropDuplicates(["class"])
+    texts = named_rows.join(wanted, ["_id", "_hash"]).dropDuplicates(["_id", "_hash", "class"])  # repeated rows; by the join's key
+    texts = texts.select("class", "n_shingles", "text")
     labels = members.select("class", F.col("class").alias("component"))
     texts_saved, links, tested = None, None, None
     for turn, most in enumerate(ROUNDS):
