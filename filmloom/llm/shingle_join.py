@@ -4,7 +4,8 @@ Sizes fall into bands; sets of one band or of two neighbours that reach the thre
 shingle domain is hashed into parts, and subsets of parts are enumerated so that two sets within k differences agree on
 one subset at least: its content is a signature. Equal sets are one class from the start. In each group of classes with
 one signature, candidates are compared by a parity sketch, whose differing bits never exceed the real difference, so it
-rejects without loss. Surviving pairs are verified on whole texts, first each class with the most central partner of its
+rejects without loss. Rules with wide shingles and more differences take prefixes instead of parts: the smallest hashes,
+so many that two linked sets share one of them. Surviving pairs are verified on whole texts, first each class with the most central partner of its
 group; classes that the links join need no further pairs. The last round compares all pairs that are still apart.
 """
 
@@ -13,6 +14,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from itertools import combinations
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +25,24 @@ from pyspark.sql import types as T
 
 from filmloom.llm.common import Scratch, slices, worker_cache
 
-#: Similarity as a fraction, so that every bound is exact in integers.
-NUMERATOR, DENOMINATOR = 9, 10
 SKETCH_BITS = 256
+
+
+class Rule(NamedTuple):
+    """Words of a shingle, and the similarity as a fraction, so that every bound is exact in integers.
+
+    Parts hold few elements where many differences are allowed, and empty ones would meet; ``prefix`` takes the smallest
+    hashes then. Common shingles would meet at every prefix, so it suits wide ones.
+    """
+
+    width: int = 3
+    numerator: int = 9
+    denominator: int = 10
+    prefix: bool = False
+    sketch_bits: int = SKETCH_BITS
+
+
+CONTRACT = Rule()
 #: Before whole texts move, pairs are held against a longer sketch, which tells large sets apart as well.
 WIDE_BITS = 4096
 #: Stands for a null id where rows are looked up again.
@@ -71,30 +88,49 @@ def shingles(text: str | None, words_of: re.Pattern, hashes: WordHash, width: in
     return np.unique(value)
 
 
-def band_limits(size: int) -> list[tuple[int, int]]:
+def band_limits(size: int, rule: Rule = CONTRACT) -> list[tuple[int, int]]:
     """(band, largest size) for a set's own band and the next; bands are cut where the ratio passes the threshold."""
     low, band = 1, 0
     while True:
-        high = low * DENOMINATOR // NUMERATOR
+        high = low * rule.denominator // rule.numerator
         if size <= high:
-            return [(band, high), (band + 1, (high + 1) * DENOMINATOR // NUMERATOR)]
+            return [(band, high), (band + 1, (high + 1) * rule.denominator // rule.numerator)]
         low, band = high + 1, band + 1
 
 
-def most_different(total: int) -> int:
+def most_different(total: int, rule: Rule = CONTRACT) -> int:
     """Largest symmetric difference of two sets that reach the threshold, from the sum of their sizes."""
-    return total * (DENOMINATOR - NUMERATOR) // (DENOMINATOR + NUMERATOR)
+    return total * (rule.denominator - rule.numerator) // (rule.denominator + rule.numerator)
 
 
-def signatures(values: np.ndarray, limits: list[tuple[int, int]]) -> np.ndarray:
+def prefixes(values: np.ndarray, limits: list[tuple[int, int]], rule: Rule) -> np.ndarray:
+    """Smallest hashes of a set, for its own band and the next: as many as it may lack in a partner there, and one more.
+
+    A partner met under the own band has at least the threshold's share of the set's size; one met under the next band is
+    larger than the own band, which bounds the shared elements from the sum of both sizes.
+    """
+    n, out = len(values), []
+    (band, high), (above, _) = limits
+    spread = np.sort(_mix(values, 0xD6E8FEB86659FD93))
+    own = -(-n * rule.numerator // rule.denominator)
+    other = -(-(n + high + 1) * rule.numerator // (rule.numerator + rule.denominator))
+    for name, shared in ((band, own), (above, other)):
+        if shared <= n:
+            out.append(_mix(spread[: n - shared + 1] + np.uint64(name), 0xA0761D6478BD642F))
+    return np.concatenate(out)
+
+
+def signatures(values: np.ndarray, limits: list[tuple[int, int]], rule: Rule = CONTRACT) -> np.ndarray:
     """For both bands: split k + 1 differences over first-level parts, and each part into second-level ones.
 
     Small sets have three second-level parts for two differences and enumerate pairs of them, which keeps signatures from
     being empty; larger sets have one part per difference. No difference allowed means equal sets, which are one class.
     """
+    if rule.prefix:
+        return prefixes(values, limits, rule)
     out = []
     for band, high in limits:
-        k = most_different(2 * high)
+        k = most_different(2 * high, rule)
         if k == 0:
             continue
         first, second, chosen = ((k + 2) // 2, 3, 2) if k <= 6 else (k + 1, 1, 1)
@@ -131,7 +167,7 @@ FEATURES = T.StructType(
 )
 
 
-def features(docs: DataFrame, key: str, text: str) -> DataFrame:
+def features(docs: DataFrame, key: str, text: str, rule: Rule) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words_of = re.compile(WORD_BYTES)
         hashes = worker_cache("word_hashes", WordHash)
@@ -139,16 +175,16 @@ def features(docs: DataFrame, key: str, text: str) -> DataFrame:
         for part in slices(batches, "_text", 1 << 20):
             sizes, classes, checks, sketches, names = [], [], [], [], []
             for t in part.column("_text").to_pylist():
-                values = shingles(t, words_of, hashes)
+                values = shingles(t, words_of, hashes, rule.width)
                 n = len(values)
                 if n and n not in bands:
-                    bands[n] = band_limits(n)
+                    bands[n] = band_limits(n, rule)
                 digest = np.frombuffer(xxhash.xxh3_128_digest(values.tobytes()), np.int64)
                 sizes.append(n)
                 classes.append(int(digest[0]))
                 checks.append(int(digest[1]))
-                sketches.append(parity(values))
-                names.append(signatures(values, bands[n]).view(np.int64) if n else np.empty(0, np.int64))
+                sketches.append(parity(values, rule.sketch_bits))
+                names.append(signatures(values, bands[n], rule).view(np.int64) if n else np.empty(0, np.int64))
             ends = np.cumsum([0, *map(len, names)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(names)))
             columns = [part.column("_id"), *(pa.array(x, pa.int64()) for x in (sizes, classes, checks)), part.column("_hash")]
@@ -161,7 +197,7 @@ def features(docs: DataFrame, key: str, text: str) -> DataFrame:
 PAIRS = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
-def _group_pairs(members: list[tuple], most: int | None) -> set[tuple[int, int]]:
+def _group_pairs(members: list[tuple], most: int | None, rule: Rule) -> set[tuple[int, int]]:
     """Pairs of one group (or of two of its blocks) that may reach the threshold and are not joined yet.
 
     Each class proposes its ``most`` best partners by centrality, ties to the smaller class.
@@ -179,8 +215,8 @@ def _group_pairs(members: list[tuple], most: int | None) -> set[tuple[int, int]]
         apart = np.bitwise_count(sketch[rows, None, :] ^ sketch[None, :, :]).sum(axis=2, dtype=np.int32)
         total = size[rows, None] + size[None, :]
         small, large = np.minimum(size[rows, None], size[None, :]), np.maximum(size[rows, None], size[None, :])
-        good = apart * (DENOMINATOR + NUMERATOR) <= total * (DENOMINATOR - NUMERATOR)
-        good &= (DENOMINATOR * small >= NUMERATOR * large) & (joined[rows, None] != joined[None, :])
+        good = apart * (rule.denominator + rule.numerator) <= total * (rule.denominator - rule.numerator)
+        good &= (rule.denominator * small >= rule.numerator * large) & (joined[rows, None] != joined[None, :])
         if across:
             good &= block[rows, None] != block[None, :]
         if most is not None:
@@ -191,7 +227,7 @@ def _group_pairs(members: list[tuple], most: int | None) -> set[tuple[int, int]]
     return found
 
 
-def propose(groups: DataFrame, classes: DataFrame, labels: DataFrame | None, most: int | None) -> DataFrame:
+def propose(groups: DataFrame, classes: DataFrame, labels: DataFrame | None, most: int | None, rule: Rule) -> DataFrame:
     """Candidate pairs of all groups whose classes are not joined yet; a hot group is dealt out as pairs of blocks."""
     rows = groups.join(labels, "class") if labels is not None else groups.withColumn("component", F.col("class"))
     open_groups = (
@@ -227,11 +263,11 @@ def propose(groups: DataFrame, classes: DataFrame, labels: DataFrame | None, mos
             for row in zip(*columns):
                 if row[:3] != group:
                     if len(held) > 1:
-                        yield out(_group_pairs(held, most))
+                        yield out(_group_pairs(held, most, rule))
                     held, group = [], row[:3]
                 held.append(row[3:])
         if len(held) > 1:
-            yield out(_group_pairs(held, most))
+            yield out(_group_pairs(held, most, rule))
 
     width = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = dealt.select(*names).repartition(width, "signature", "low", "high")  # even: much work for few bytes
@@ -239,18 +275,18 @@ def propose(groups: DataFrame, classes: DataFrame, labels: DataFrame | None, mos
     return spread.mapInArrow(run, PAIRS).distinct()
 
 
-def with_wide_sketch(texts: DataFrame) -> DataFrame:
+def with_wide_sketch(texts: DataFrame, rule: Rule) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words_of = re.compile(WORD_BYTES)
         hashes = worker_cache("word_hashes", WordHash)
         for part in slices(batches, "text", 1 << 20):
-            wide = [parity(shingles(t, words_of, hashes), WIDE_BITS) for t in part.column("text").to_pylist()]
+            wide = [parity(shingles(t, words_of, hashes, rule.width), WIDE_BITS) for t in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(wide, pa.binary())], names=[*part.schema.names, "wide"])
 
     return texts.mapInArrow(run, T.StructType([*texts.schema, T.StructField("wide", T.BinaryType())]))
 
 
-def plausible(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def plausible(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     """The pairs whose long sketches differ in no more bits than linked sets may."""
 
     def side(name: str, key: str) -> DataFrame:
@@ -265,20 +301,21 @@ def plausible(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 )
                 apart = np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64)
                 total = batch.column("_na").to_numpy() + batch.column("_nb").to_numpy()
-                good = apart * (DENOMINATOR + NUMERATOR) <= total * (DENOMINATOR - NUMERATOR)
+                good = apart * (rule.denominator + rule.numerator) <= total * (rule.denominator - rule.numerator)
                 yield batch.select(["a", "b"]).filter(pa.array(good))
 
     return pairs.join(side("a", "a"), "a").join(side("b", "b"), "b").mapInArrow(run, PAIRS)
 
 
-def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def verify(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     """The pairs whose whole texts reach the threshold, compared as sets of word tuples."""
     left = texts.select(F.col("class").alias("a"), F.col("text").alias("_left"))
     right = texts.select(F.col("class").alias("b"), F.col("text").alias("_right"))
 
     def tuples(text: str, words_of: re.Pattern) -> set:
         words = words_of.findall(lowered(text))
-        return set(zip(words, words[1:], words[2:])) if len(words) >= 3 else {tuple(words)}
+        width = min(rule.width, len(words))
+        return set(zip(*(words[i:] for i in range(width))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words_of = re.compile(WORD_BYTES)
@@ -290,7 +327,7 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     seen = [b, tuples(y, words_of)]
                 one, two = tuples(x, words_of), seen[1]
                 both = len(one & two)
-                keep.append(DENOMINATOR * both >= NUMERATOR * (len(one) + len(two) - both))
+                keep.append(rule.denominator * both >= rule.numerator * (len(one) + len(two) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return pairs.join(left, "a").join(right, "b").mapInArrow(run, PAIRS)
@@ -315,14 +352,16 @@ def components(links: DataFrame, labels: DataFrame, scratch: Scratch, name: str)
         step += 1
 
 
-def similar_classes(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text") -> DataFrame:
+def similar_classes(
+    docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text", rule: Rule = CONTRACT
+) -> DataFrame:
     """``_id``, ``_hash`` (of the text), ``n_shingles`` and ``component_id`` of every row of ``docs``.
 
     Null and empty texts have no shingles and link with nothing; their component is their own id. Rows with equal sets
     are linked, repeated rows included. A null id never names a component unless all of its component's ids are null. An
     empty table gives an empty table.
     """
-    rows = scratch.save(features(docs, key, text), "features")
+    rows = scratch.save(features(docs, key, text, rule), "features")
     classes = (
         rows.where("n_shingles > 0")
         .groupBy("class")
@@ -362,16 +401,16 @@ def similar_classes(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text
     labels = members.select("class", F.col("class").alias("component"))
     texts_saved, links, tested = None, None, None
     for turn, most in enumerate(ROUNDS):
-        pairs = propose(groups, members, labels if turn else None, most)  # at first every class is a component
+        pairs = propose(groups, members, labels if turn else None, most, rule)  # at first every class is a component
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = scratch.save(pairs, f"pairs-{turn}")
         if not pairs.limit(1).count():
             continue
         if texts_saved is None:
-            texts_saved = scratch.save(with_wide_sketch(texts), "texts")
-        close = scratch.save(plausible(pairs, texts_saved), f"close-{turn}")
-        good = scratch.save(verify(close, texts_saved), f"good-{turn}")
+            texts_saved = scratch.save(with_wide_sketch(texts, rule), "texts")
+        close = scratch.save(plausible(pairs, texts_saved, rule), f"close-{turn}")
+        good = scratch.save(verify(close, texts_saved, rule), f"good-{turn}")
         tested = pairs if tested is None else tested.union(pairs)
         links = good if links is None else links.union(good)
         labels = components(links, labels, scratch, f"components-{turn}")

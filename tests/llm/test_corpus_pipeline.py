@@ -1,11 +1,15 @@
 """The pipeline's stages on one fixture, each held against what it must do to its own input."""
 
 import base64
+import random
+import re
 
+import numpy as np
 import public_tokenizers
 import tiktoken
 
 import corpus_pipeline
+from filmloom.llm import shingle_join
 from filmloom.llm.queries import QUERIES, SQL, vocabulary
 from filmloom.llm.secrets import redacted
 from tests.compare import compare
@@ -55,3 +59,60 @@ def test_queries_with_sql(spark):
     for name, sql in SQL.items():
         ok, note = compare(spark, SF, name, QUERIES[name], sql)
         assert ok, (name, note)
+
+
+def plain_near_copies(rows, width=5, share=(4, 5)):
+    """Component of every (id, text) row by comparing all pairs; None for texts without words."""
+    sets = []
+    for _, text in rows:
+        words = re.findall(shingle_join.WORD_BYTES, shingle_join.lowered(text or ""))
+        n = min(width, len(words))
+        sets.append({tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if words else set())
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and share[1] * both >= share[0] * (len(sets[i]) + len(sets[j]) - both):
+                label = [label[j] if x == label[i] else x for x in label]
+    return [x if s else None for x, s in zip(label, sets)]
+
+
+def families(rng, n=30):
+    """Texts with 0 to 25 single-word edits, so that pairs lie on both sides of the threshold."""
+    texts = []
+    for family in range(n):
+        base = [f"w{family}x{i}" for i in range(rng.choice([6, 30, 45, 60, 90, 200, 400]))]
+        for _ in range(4):
+            words = list(base)
+            for _ in range(rng.randint(0, 1 + len(base) // 16)):
+                words[rng.randrange(len(words))] = f"e{rng.randrange(10**6)}"
+            texts.append(" ".join(words[: len(words) - rng.choice([0, 0, 1, len(words) // 10])]))
+    return texts
+
+
+def test_near_copies_share_five_words_in_four_fifths(spark):
+    rows = list(enumerate(families(random.Random(5))))
+    random.Random(6).shuffle(rows)
+    expected, first = plain_near_copies(rows), {}
+    for (i, _), x in zip(rows, expected):
+        first[x] = min(i, first.get(x, i))
+    narrow = plain_near_copies(rows, 3, (9, 10))
+    assert len(set(expected)) < len(set(narrow)) - 3  # the contract of operator 9 would leave near copies
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = [r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, SF).collect()]
+    assert sorted(left) == sorted(first.values())
+
+
+def test_prefixes_meet_for_every_pair_within_the_threshold():
+    rng, rule = np.random.default_rng(2), corpus_pipeline.NEAR_COPIES
+    for size in (4, 5, 6, 9, 10, 12, 19, 24, 25, 27, 40, 95, 200, 333):
+        for _ in range(60):
+            whole = rng.integers(0, 2**63, 2 * size).astype(np.uint64)
+            more = int(rng.integers(0, size // 4 + 1))
+            shared = -(-4 * (2 * size + more) // 9)  # the fewest that reach 4/5
+            if shared > size:
+                continue
+            one, other = whole[:size], np.concatenate([whole[:shared], whole[size : 2 * size + more - shared]])
+            assert 5 * shared >= 4 * (len(one) + len(other) - shared)
+            x, y = (shingle_join.signatures(v, shingle_join.band_limits(len(v), rule), rule) for v in (one, other))
+            assert np.intersect1d(x, y).size
