@@ -1,9 +1,9 @@
 """Quality rules whose cutoffs come with a bound on the good documents they may reject.
 
 Each rule compares one ratio of a document with a cutoff of the document's stratum. Labelled documents are split by a hash:
-one half proposes cutoffs, the other half, the holdout, tests them. A cutoff stands only if the exact binomial probability
-of seeing so few rejected good documents, were the true rate above the allowed one, stays under the error level shared
-out over all tests (Bonferroni). That is the Clopper-Pearson bound, read the other way round.
+one half plans at most one cutoff per stratum and rule, the other half, the holdout, tests it. A cutoff stands only if the
+exact binomial probability of seeing so few rejected good documents, were the true rate above the allowed one, stays under
+the error level shared out over the planned tests (Bonferroni). That is the Clopper-Pearson bound, read the other way round.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from filmloom.llm.common import WORD, slices, small_enough
+from filmloom.llm.common import WORD, Scratch, slices, small_enough
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper_words")
 SYMBOLS = "#*$%&|<>"
@@ -114,6 +114,26 @@ def binomial_tail(n: int, k: int, rate: float) -> float:
     return min(1.0, total)
 
 
+PLAN = "stratum string, n_rules int, rule string, cutoff double, n long, k long"
+
+
+def plan(rows: pd.DataFrame, rate: float, error: float, good_weight: float) -> pd.DataFrame:
+    """The rules that one stratum tests, each with one cutoff, chosen on the first half alone.
+
+    m rules share the rate and the error, so m is chosen by gain among sets that the first half itself would certify; where
+    no rule would be, nothing is tested and nothing is taken from the other strata.
+    """
+    gone = rows["k_bad"] / rows["n_bad"].clip(lower=1) - good_weight * rows["k_first"] / rows["n_first"].clip(lower=1)
+    rows = rows.assign(gain=gone)[gone > 0].sort_values(["gain", "cutoff", "rule"], ascending=False)
+    best, best_gain = rows[:0], 0.0
+    for m in range(1, len(RULES) + 1):
+        fits = [binomial_tail(int(n), int(k), rate / m) <= error / m for n, k in zip(rows["n_first"], rows["k_first"])]
+        chosen = rows[fits].drop_duplicates("rule")[:m]
+        if len(chosen) == m and chosen["gain"].sum() > best_gain:
+            best, best_gain = chosen, chosen["gain"].sum()
+    return best.assign(n_rules=len(best))[["stratum", "n_rules", "rule", "cutoff", "n", "k"]]
+
+
 def calibrate(
     counted: DataFrame,
     labels: DataFrame,
@@ -130,8 +150,9 @@ def calibrate(
 
     In every stratum, all rules together reject at most ``max_false_rejection`` of the good documents that pass the base
     check, with probability ``1 - error`` over the holdout, for all strata at once. Cutoffs are proposed at ``levels`` of
-    the good documents of the first half; among the certified ones, the best on that half by rejected bad documents minus
-    ``good_weight`` times rejected good ones is taken, if positive. A null stratum is a stratum of its own (empty text). Of
+    the good documents of the first half; the best on that half by rejected bad documents minus ``good_weight`` times
+    rejected good ones is planned, if positive. Strata with a plan share the error evenly, and the rules of a plan share
+    its stratum's error and ``max_false_rejection``. A null stratum is a stratum of its own (empty text). Of
     several labels of one document the lowest counts; documents and labels without a key or label take no part; empty
     labels certify nothing.
     """
@@ -164,24 +185,26 @@ def calibrate(
     tested = tested.groupBy("stratum", "rule", "cutoff").agg(
         F.count_if(seen(True, True)).alias("n"),
         F.count_if(seen(True, True) & above).alias("k"),
-        (F.count_if(seen(True, False) & above) / F.greatest(F.count_if(seen(True, False)), F.lit(1))).alias("good_gone"),
-        (F.count_if(seen(False, False) & above) / F.greatest(F.count_if(seen(False, False)), F.lit(1))).alias("bad_gone"),
+        F.count_if(seen(True, False)).alias("n_first"),
+        F.count_if(seen(True, False) & above).alias("k_first"),
+        F.count_if(seen(False, False)).alias("n_bad"),
+        F.count_if(seen(False, False) & above).alias("k_bad"),
     )
-    n_tests = tested.agg(F.count(F.lit(1)).alias("n_tests"))
-    rate = max_false_rejection / len(RULES)
+    tested = Scratch(counted.sparkSession).save(tested, "tested")
+    n_strata = max(1, tested.select("stratum").distinct().count())
+
+    def planned_of(rows: pd.DataFrame) -> pd.DataFrame:
+        return plan(rows, max_false_rejection, error / n_strata, good_weight)
+
+    planned = Scratch(counted.sparkSession).save(tested.groupBy("stratum").applyInPandas(planned_of, PLAN), "planned")
+    n_planned = max(1, planned.select("stratum").distinct().count())
 
     @F.pandas_udf("double")
-    def p_value(n: pd.Series, k: pd.Series) -> pd.Series:
-        return pd.Series([binomial_tail(int(a), int(b), rate) for a, b in zip(n, k)])
-
-    gain = F.col("bad_gone") - good_weight * F.col("good_gone")
-    certified = (
-        tested.crossJoin(F.broadcast(n_tests))  # one row
-        .withColumn("p", p_value("n", "k"))
-        .where((F.col("p") <= error / F.col("n_tests")) & (gain > 0))
-    )
-    best = F.max_by(F.struct("cutoff", "n", "k", "p"), F.struct(gain, F.col("cutoff"))).alias("best")
-    return certified.groupBy("stratum", "rule").agg(best).select("stratum", "rule", "best.*")
+    def p_value(n: pd.Series, k: pd.Series, n_rules: pd.Series) -> pd.Series:
+        return pd.Series([binomial_tail(int(a), int(b), max_false_rejection / int(m)) for a, b, m in zip(n, k, n_rules)])
+
+    certified = planned.withColumn("p", p_value("n", "k", "n_rules")).where(F.col("p") * n_planned * F.col("n_rules") <= error)
+    return certified.select("stratum", "rule", "cutoff", "n", "k", "p")
 
 
 def apply_cutoffs(counted: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> DataFrame:

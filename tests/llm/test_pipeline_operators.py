@@ -254,3 +254,20 @@ def test_signatures_meet_for_every_pair_within_the_threshold():
             y = shingle_join.signatures(other, shingle_join.band_limits(len(other)))
             if swap:
                 assert np.intersect1d(x, y).size
+
+
+def test_cutoffs_of_small_strata(spark):
+    rows, marks = [], []
+    for i in range(1600):  # about 267 good ones a half in "fr", 40 in "es"
+        bad, lang = i % 4 == 0, "fr" if i % 9 else "es"
+        rows.append((i, lang, False, 0.2 if bad else 0.0, 0.001 * (i % 7), 0.0, 0.01 * (i % 11)))
+        marks.append((i, int(not bad)))
+    schema = "doc_id long, lang string, base_failed boolean, " + ", ".join(f"{r} double" for r in quality.RULES)
+    counted = spark.createDataFrame(rows[:900] + [r for r in rows[900:] if r[1] == "es" or r[0] % 3], schema)
+    cutoffs = quality.calibrate(counted, spark.createDataFrame(marks, "doc_id long, quality int"))
+    found = {(r["stratum"], r["rule"]): r for r in cutoffs.collect()}
+    assert set(found) == {("fr", "symbol_ratio")}  # the other stratum is too small for any bound
+    row = found["fr", "symbol_ratio"]
+    assert 217 < row["n"] < 1300 and row["k"] == 0 and 0.98 ** row["n"] <= 0.05
+    judged = quality.apply_cutoffs(counted, cutoffs).where("lang = 'fr'").collect()
+    assert all(r["kept"] == (r["symbol_ratio"] == 0) for r in judged)
