@@ -1,10 +1,11 @@
 """License scans: phrases as they stand, and notices found by an exact containment join with templates.
 
-A block is a line. A template stands in a block if the block holds at least ``THRESHOLD`` of the template's distinct words.
-Words are ordered by how many blocks of the whole corpus hold them, rarest first; a block that reaches the threshold must
-share one of a template's first words in that order (prefix filter), hold enough template words at all (length filter) and
-still have enough words to come after the first shared one (positional filter). What passes is counted exactly. The
-templates are a parameter with a bound, so each task holds them all; no table grows with the documents.
+A block is a window of words anywhere in the text, line breaks or not, ``STRETCH`` times as long as the template at most. A
+template stands in a block if the block holds at least ``THRESHOLD`` of the template's distinct words. Words are ordered by
+how many texts of the whole corpus hold them, rarest first; a text with such a block must share one of a template's first
+words in that order (prefix filter), hold enough template words at all (length filter) and still have enough words to come
+after the first shared one (positional filter). Over what passes, the window slides from template word to template word and
+is counted exactly. The templates are a parameter with a bound, so each task holds them all; no table grows with the documents.
 """
 
 from __future__ import annotations
@@ -43,6 +44,8 @@ TEMPLATES = (
     ("mpl", "this source code form is subject to the terms of the mozilla public license"),
 )
 THRESHOLD = Fraction(9, 10)
+#: Words of a window per word of the template: room for a few words in between.
+STRETCH = Fraction(3, 2)
 MOST_TEMPLATES = 10_000
 
 BLOCKS = "array<struct<label:string,first_word:long,n_words:long,score:double>>"
@@ -62,23 +65,22 @@ def words(text: bytes, pattern: re.Pattern) -> list[bytes]:
     return pattern.findall(text)
 
 
-def template_words(templates) -> list[tuple[str, frozenset[bytes]]]:
+def template_words(templates) -> list[tuple[str, list[bytes]]]:
     pattern = re.compile(WORD_BYTES)
-    found = [(label, frozenset(words(text.encode().lower(), pattern))) for label, text in templates]
+    found = [(label, words(text.encode().lower(), pattern)) for label, text in templates]
     if len(found) > MOST_TEMPLATES or not all(w for _, w in found):
         raise ValueError(f"templates need words, and there may be {MOST_TEMPLATES} at most")
     return found
 
 
-def block_frequency(docs: DataFrame, text: str, vocabulary: frozenset[bytes]) -> dict[bytes, int]:
-    """In how many blocks each template word occurs; as many rows as the templates have words."""
+def text_frequency(docs: DataFrame, text: str, vocabulary: frozenset[bytes]) -> dict[bytes, int]:
+    """In how many texts each template word occurs; as many rows as the templates have words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pattern, seen = re.compile(WORD_BYTES), Counter()
         for part in slices(batches, text, 4 << 20):
             for whole in part.column(text).to_pylist():
-                for line in (whole or "").encode().lower().split(b"\n"):
-                    seen.update(vocabulary.intersection(words(line, pattern)))
+                seen.update(vocabulary.intersection(words((whole or "").encode().lower(), pattern)))
         columns = [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, names=["word", "n"])
 
@@ -91,28 +93,56 @@ class TemplateIndex:
 
     def __init__(self, templates, frequency: dict[bytes, int], threshold: Fraction):
         every = frozenset().union(*(w for _, w in templates))
+        sizes = [(label, frozenset(w), ceil(STRETCH * len(w))) for label, w in templates]
         self.rank = {w: i for i, w in enumerate(sorted(every, key=lambda w: (frequency.get(w, 0), w)))}
-        self.templates = [(label, tokens, ceil(threshold * len(tokens))) for label, tokens in templates]
+        self.templates = [(label, tokens, ceil(threshold * len(tokens)), width) for label, tokens, width in sizes]
         self.prefix: dict[bytes, list[tuple[int, int]]] = {}
-        for t, (_, tokens, need) in enumerate(self.templates):
+        for t, (_, tokens, need, _) in enumerate(self.templates):
             ordered = sorted(tokens, key=self.rank.__getitem__)
             for place, word in enumerate(ordered[: len(ordered) - need + 1]):
                 self.prefix.setdefault(word, []).append((t, place))
 
-    def matches(self, block: set[bytes]) -> list[tuple[str, float]]:
-        own = sorted((w for w in block if w in self.rank), key=self.rank.__getitem__)
+    def candidates(self, text: set[bytes]) -> list[int]:
+        """Templates with enough of their words anywhere in a text."""
+        own = sorted((w for w in text if w in self.rank), key=self.rank.__getitem__)
         found, tried = [], set()
         for i, word in enumerate(own):
             for t, place in self.prefix.get(word, ()):
-                label, tokens, need = self.templates[t]
+                _, tokens, need, _ = self.templates[t]
                 if t in tried:
                     continue
                 tried.add(t)  # the first shared prefix word: nothing shared stands before it
                 if len(own) < need or 1 + min(len(own) - i - 1, len(tokens) - place - 1) < need:
                     continue
-                both = len(tokens.intersection(own))
-                if both >= need:
-                    found.append((label, both / len(tokens)))
+                if len(tokens.intersection(own)) >= need:
+                    found.append(t)
+        return found
+
+    def blocks(self, row: list[bytes]) -> list[tuple[str, int, int, float]]:
+        """Label, first word, number of words and score; of windows that overlap, the best, then shortest, then first."""
+        found = []
+        for t in self.candidates(set(row)):
+            label, tokens, need, width = self.templates[t]
+            places = [i for i, w in enumerate(row) if w in tokens]
+            held, left, end, best = Counter(), 0, -1, None
+            for right in places:
+                held[row[right]] += 1
+                while right - places[left] >= width or held[row[places[left]]] > 1:  # a word that comes again isn't needed
+                    word = row[places[left]]
+                    held[word] -= 1
+                    if not held[word]:
+                        del held[word]
+                    left += 1
+                if len(held) < need:
+                    continue
+                first = places[left]
+                mine = (-len(held), right - first + 1, first)
+                if best is not None and first > end:
+                    found.append((label, best[2], best[1], -best[0] / len(tokens)))
+                    best = None
+                best, end = mine if best is None else min(best, mine), right
+            if best is not None:
+                found.append((label, best[2], best[1], -best[0] / len(tokens)))
         return found
 
 
@@ -123,7 +153,7 @@ def scan(docs: DataFrame, text: str = "text", templates=TEMPLATES, threshold: Fr
     need no rule, an empty table gives an empty table. Columns called like an output are replaced.
     """
     named = template_words(templates)
-    index = TemplateIndex(named, block_frequency(docs, text, frozenset().union(*(w for _, w in named))), threshold)
+    index = TemplateIndex(named, text_frequency(docs, text, frozenset().union(*(w for _, w in named))), threshold)
     phrases = [(p.encode().split(b" "), label) for p, label in PHRASES]
     added = list(OUTPUT)
     keep = [c for c in docs.columns if c not in added]
@@ -133,17 +163,12 @@ def scan(docs: DataFrame, text: str = "text", templates=TEMPLATES, threshold: Fr
     )
 
     def judge(whole: str, pattern: re.Pattern) -> tuple:
-        at, places, base, labels, blocks, best = 0, [], set(), set(), [], 0.0
-        row: list[bytes] = []
-        for line in whole.encode().lower().split(b"\n"):
-            own = words(line, pattern)
-            found = index.matches(set(own))
-            for label, score in found:
-                labels.add(label)
-                best = max(best, score)
-                blocks.append({"label": label, "first_word": at, "n_words": len(own), "score": score})
-            at += len(own)
-            row += own
+        places, base, labels, blocks, best = [], set(), set(), [], 0.0
+        row = words(whole.encode().lower(), pattern)
+        for label, first, n, score in index.blocks(row):
+            labels.add(label)
+            best = max(best, score)
+            blocks.append({"label": label, "first_word": first, "n_words": n, "score": score})
         for phrase, label in phrases:
             start = -1
             for _ in range(row.count(phrase[0])):

@@ -178,3 +178,35 @@ def test_license_scan(odd_docs, no_docs):
         assert tuple(r[c] for c in list(license_scan.OUTPUT)[:7]) == plain_licenses(r["text"])
     assert any(r["score"] > 0 for r in rows) and any(r["n_base"] > 1 for r in rows)
     assert license_scan.scan(no_docs).count() == 0
+
+
+def plain_windows(text):
+    words, best, labels = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower()), 0.0, set()
+    for label, template in license_scan.TEMPLATES:
+        tokens, width = set(template.split()), -(-3 * len(template.split()) // 2)
+        for i in range(len(words)):
+            both = len(tokens.intersection(words[i : i + width]))
+            if 10 * both >= 9 * len(tokens):
+                labels.add(label)
+                best = max(best, both / len(tokens))
+    return labels, best
+
+
+def test_license_notices_do_not_depend_on_line_breaks(spark):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\n * of this software and associated files"
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that"
+    scattered = "released goods stay here and under that roof we find the books of mit students who need a license"
+    rng = np.random.default_rng(1)
+    mixed = []
+    for _ in range(60):
+        words = str(rng.choice([t for _, t in license_scan.TEMPLATES])).split()
+        for _ in range(rng.integers(0, 12)):
+            words.insert(int(rng.integers(0, len(words) + 1)), str(rng.choice(["x", "the", "license", "\n"])))
+        mixed.append(" ".join(["start"] * int(rng.integers(0, 3)) + words * int(rng.integers(1, 3))))
+    texts = [mit, bsd, scattered, "word\n" * 30 + mit + "\n" + "word " * 30 + mit, *mixed]
+    rows = license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    for r in rows:
+        labels, best = plain_windows(r["text"])
+        assert {b["label"] for b in r["blocks"]} == labels and r["score"] == best
+    assert [r["labels"] for r in rows[:3]] == ["mit", "bsd", ""]
+    assert [(b["first_word"], b["n_words"]) for b in rows[3]["blocks"]] == [(30, 16), (79, 16)]
