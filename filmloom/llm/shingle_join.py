@@ -355,7 +355,9 @@ def components(links: DataFrame, labels: DataFrame, scratch: Scratch, name: str)
 def similar_classes(
     docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text", rule: Rule = CONTRACT
 ) -> DataFrame:
-    """``_id``, ``_hash`` (of the text), ``n_shingles`` and ``component_id`` of every row of ``docs``.
+    """``_id``, ``_hash`` (of the text), ``n_shingles``, ``component_id`` and ``component`` of every row of ``docs``.
+
+    ``component`` tells groups apart even where ids repeat or are null; it is null for rows without shingles.
 
     Null and empty texts have no shingles and link with nothing; their component is their own id. Rows with equal sets
     are linked, repeated rows included. A null id never names a component unless all of its component's ids are null. An
@@ -418,11 +420,12 @@ def similar_classes(
         scratch.drop("texts")
     named = members.join(labels, "class")
     names = named.groupBy("component").agg(F.min("label").alias("_name"))
-    named = named.join(names, "component").select("class", "_name")
+    named = named.join(names, "component").select("class", "component", "_name")
     single = own.join(classes.select("class", "label"), "class", "left").join(named, "class", "left")
     return single.select(
         F.col("id").alias("_id"),
         F.col("text_hash").alias("_hash"),
         "n_shingles",
         F.coalesce("_name", "label", "id").alias("component_id"),
+        F.when(F.col("n_shingles") > 0, F.coalesce("component", "class")).alias("component"),
     )

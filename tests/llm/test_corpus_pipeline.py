@@ -116,3 +116,11 @@ def test_prefixes_meet_for_every_pair_within_the_threshold():
             assert 5 * shared >= 4 * (len(one) + len(other) - shared)
             x, y = (shingle_join.signatures(v, shingle_join.band_limits(len(v), rule), rule) for v in (one, other))
             assert np.intersect1d(x, y).size
+
+
+def test_near_copies_under_repeated_and_null_ids(spark):
+    one, two, three = (" ".join(f"{n}{i}" for i in range(60)) for n in "abc")
+    rows = [(7, one), (7, one + " more"), (7, two), (8, two + " more"), (None, three), (None, three + " more"), (None, three), (9, ""), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = [tuple(r) for r in corpus_pipeline.drop_near_copies(spark, docs, SF).collect()]
+    assert sorted((str(i), (t or "")[:1]) for i, t in left) == [("7", "a"), ("7", "b"), ("9", ""), ("9", ""), ("None", "c")]
