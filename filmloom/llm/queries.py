@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from filmloom.llm import (
     bpe,
+    collocations,
+    lexical_search,
     license_scan,
     mixing,
     quality,
     secrets,
     sentence_dedup,
     shingle_join,
+    simhash,
     suffix_dedup,
     topk,
     training_order,
@@ -151,3 +154,64 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.without_repeats(docs, Scratch(spark)).drop("text")
     kept = F.coalesce(F.sha2("kept", 256), F.col("_whole")).alias("kept_sha256")
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", kept)
+
+
+LEXICAL_SQL = """
+WITH t AS (SELECT row_number() OVER () AS d, doc_id,
+                  regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+           FROM documents),
+q AS (SELECT row_number() OVER () AS i, item_id,
+             unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+      FROM benchmark),
+c AS (SELECT count(*)::BIGINT AS nn, sum(len(ts))::BIGINT AS ll FROM t WHERE len(ts) > 0),
+tf AS (SELECT d, doc_id, n, term, count(*)::BIGINT AS tf
+       FROM (SELECT d, doc_id, len(ts)::BIGINT AS n, unnest(ts) AS term FROM t) JOIN (SELECT DISTINCT term FROM q) USING (term) GROUP BY ALL),
+df AS (SELECT term, count(*)::BIGINT AS df FROM tf GROUP BY term),
+w AS (SELECT term, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM df, c),
+s AS (SELECT i, item_id, d, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * nn) // ll))))::BIGINT AS score
+      FROM q JOIN w USING (term) JOIN tf USING (term), c GROUP BY ALL)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 10
+"""
+
+
+@query("op11_lexical_search", LEXICAL_SQL)
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), Scratch(spark))
+
+
+@query("op12_simhash")
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents"), Scratch(spark))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return found.select(F.col("id").alias("doc_id"), digits, "component_id")
+
+
+PHRASES_SQL = """
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+g AS (SELECT lang, m, unnest(list_transform(range(1, len(ws) - m + 2), lambda i: array_to_string(ws[i:i + m - 1], ' '))) AS phrase
+      FROM w, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(ws) >= m),
+f AS (SELECT lang, m, phrase, count(*)::BIGINT AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, phrase, string_split(phrase, ' ') AS ws, f AS a FROM f WHERE m > 1 AND f >= 30),
+cut AS (SELECT lang, m, phrase, a, k, array_to_string(ws[1:k], ' ') AS x, array_to_string(ws[k + 1:], ' ') AS y
+        FROM c, (SELECT unnest([1, 2, 3]) AS k) WHERE k < m),
+s AS (SELECT cut.*, x.f AS l, y.f AS r, ((2000000::HUGEINT * a) // (x.f + y.f))::BIGINT AS score
+      FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = cut.x AND x.m = k JOIN f y ON y.lang = cut.lang AND y.phrase = cut.y AND y.m = cut.m - k),
+one AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (SELECT lang, m, a, unnest(list_transform(flatten(list_transform([2, 3], lambda len_: list_transform(range(1, m - len_ + 2), lambda i: [i, len_]))),
+             lambda z: CASE WHEN z[2] < m THEN array_to_string(ws[z[1]:z[1] + z[2] - 1], ' ') END)) AS phrase FROM c WHERE m > 2),
+most AS (SELECT lang, phrase, max(a) AS longer FROM inside WHERE phrase IS NOT NULL GROUP BY ALL),
+kept AS (SELECT one.* FROM one LEFT JOIN most USING (lang, phrase) WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a)
+SELECT * FROM (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+               FROM kept JOIN n USING (lang)) WHERE rank <= 2000
+"""
+
+
+@query("op13_phrase_collocations", PHRASES_SQL)
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read(spark, sf_dir, "documents"), Scratch(spark))
