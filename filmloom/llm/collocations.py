@@ -29,7 +29,7 @@ from filmloom.operators.relational import top_k_per_group
 MOST_WORDS = 4
 NO_LANG = "und"
 #: Text that is counted at once, in bytes; a longer text is cut where a piece ends.
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 #: Bits of a sieve: so many per frequent phrase, within the bounds.
 BITS_PER_PHRASE, FEWEST_BITS, MOST_BITS = 32, 16, 27
 
@@ -55,7 +55,7 @@ def _word_hash(lang: str, word: bytes) -> int:
 def _tokens(langs: list[str], ends: np.ndarray, data: np.ndarray):
     """Words of a chunk: number of each token's word, words and their languages, and each token's piece."""
     starts, text, words = words_of(data, (data != _SPACE) & (data != _BREAK), ends)
-    piece = np.cumsum(data == _BREAK)[starts] + text  # grows with every break and every text
+    piece = np.cumsum(data == _BREAK, dtype=np.int32)[starts] + text  # grows with every break and every text
     names, lang_of_text = np.unique(langs, return_inverse=True)
     key = words.indices.to_numpy() * len(names) + lang_of_text[text]
     distinct, number = np.unique(key, return_inverse=True)

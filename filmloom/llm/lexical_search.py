@@ -25,7 +25,7 @@ from filmloom.operators.relational import index_ids, top_k_per_group
 #: Fixed value: maximal runs of these characters are terms, after A-Z became a-z.
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 #: Distinct terms of all queries that are sent to every executor; with more, all terms are shuffled to them instead.
 MOST_TERMS = 200_000
 SHARD_POSTINGS = 500_000

@@ -51,7 +51,7 @@ def words_of(data: np.ndarray, is_word: np.ndarray, ends: np.ndarray) -> tuple[n
     opens[inner] |= is_word[inner]
     starts = np.flatnonzero(opens)
     letters = data[is_word]
-    offsets = np.append(np.cumsum(is_word)[starts] - 1, len(letters)).astype(np.int64)
+    offsets = np.append(np.cumsum(is_word, dtype=np.int32)[starts].astype(np.int64) - 1, len(letters))
     words = pa.LargeBinaryArray.from_buffers(
         pa.large_binary(), len(starts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(letters.tobytes())]
     )
