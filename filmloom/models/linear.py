@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import logging
+import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filmloom.functions.vectors import mean_vector, sum_vectors
-from filmloom.operators.relational import shuffle_key
 from filmloom.session import cut_lineage, spread_rows
 
 log = logging.getLogger(__name__)
@@ -73,18 +73,25 @@ def times_matrix(vectors: DataFrame, key: str, matrix: np.ndarray) -> DataFrame:
 
 
 def hashed_normal(df: DataFrame, key: str, size: int, std: float, seed: int) -> DataFrame:
-    """Start vectors that depend only on the key and the seed."""
+    """Normal start vectors that depend only on the key and the seed.
 
-    def draw(frames):
-        for frame in frames:
-            rows = [
-                np.random.default_rng([seed, int(h)]).normal(0.0, std, size) for h in frame["_seed"].to_numpy()
-            ]
-            yield pd.DataFrame({key: frame[key], "vec": rows})
+    Every md5 of (key, block, seed) has four words of 32 bits, and two of them make two components by Box and Muller.
+    """
+
+    def words(block: Column) -> Column:
+        digest = F.md5(F.concat_ws("-", F.col(key).cast("string"), block.cast("string"), F.lit(str(seed))))
+        word = [(F.conv(F.substring(digest, at, 8), 16, 10).cast("double") + 1.0) / 4294967297.0 for at in (1, 9, 17, 25)]
+        return F.array(*word)
+
+    def pairs(w: Column) -> Column:
+        parts = []
+        for one, two in ((0, 1), (2, 3)):
+            length, turn = F.sqrt(-2.0 * F.log(w[one])) * std, 2.0 * math.pi * w[two]
+            parts += [length * F.cos(turn), length * F.sin(turn)]
+        return F.array(*parts)
 
-    kind = df.schema[key].dataType.simpleString()
-    word = F.conv(F.substring(shuffle_key(key, seed=seed), 1, 12), 16, 10).cast("bigint").alias("_seed")
-    return df.select(key, word).mapInPandas(draw, f"{key} {kind}, vec array<double>")
+    drawn = F.transform(F.sequence(F.lit(0), F.lit(max(0, -(-size // 4) - 1))), words)
+    return df.select(key, F.slice(F.flatten(F.transform(drawn, pairs)), 1, size).alias("vec"))
 
 
 def train_svd(
@@ -106,7 +113,7 @@ def train_svd(
     n_users, n_items = counts["u"], counts["i"]
     k = max(1, min(k, min(n_users, n_items) - 1))
     size = min(k + oversample, n_items, n_users)
-    basis = hashed_normal(pairs.select("movie_id").distinct(), "movie_id", size, 1.0, seed)
+    basis = cut_lineage(hashed_normal(pairs.select("movie_id").distinct(), "movie_id", size, 1.0, seed))
     values = np.zeros(k)
     for done in range(1, max_rounds + 1):
         image = basis

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,3 +74,27 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+class StepTables:
+    """Tables of an iteration in the shared folder, read back after each step.
+
+    A checkpoint keeps the size estimate of the plan it cuts, and joins multiply estimates: after a few steps that join a
+    state with what was made from it, the estimate has millions of digits. A written table has the size of its files.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{shared_folder(spark).rstrip('/')}/steps-{uuid.uuid4().hex}"
+        self.paths: dict[str, list[str]] = {}
+
+    def save(self, df: DataFrame, name: str) -> DataFrame:
+        """The table as written; the one before the last of this name goes."""
+        kept = self.paths.setdefault(name, [])
+        path = f"{self.folder}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        kept.append(path)
+        while len(kept) > 2:
+            target = self.spark._jvm.org.apache.hadoop.fs.Path(kept.pop(0))
+            target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+        return self.spark.read.schema(df.schema).parquet(path)
