@@ -11,8 +11,10 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from filmloom.functions.vectors import dot
 from filmloom.operators.interactions import user_interaction_counts
 from filmloom.operators.relational import HOT_GROUP_ROWS
+from filmloom.operators.scoring import rank_sums
 
 BANDS = [("cold (5-9)", 5, 10), ("light (10-19)", 10, 20), ("heavy (20+)", 20, None)]
 
@@ -170,6 +172,28 @@ def user_auc(
     return summed.select("user_id", "n_pos", "n_neg", auc.alias("auc"))
 
 
+def factor_auc(
+    users: DataFrame, items: DataFrame, test: DataFrame, train: DataFrame, digits: int = 6, **tiles: int
+) -> DataFrame:
+    """ROC AUC per test user of a factor model, over every film outside train: (user_id, n_pos, n_neg, auc).
+
+    Scores are counted inside the tiles of all users x all films and never stand as rows. Equal scores count half; a user
+    without negatives scores 0.5; test films without a vector and users without one are not measured.
+    """
+    pair = ["user_id", "movie_id"]
+    liked = test.select(*pair).distinct().join(train.select(*pair), pair, "left_anti")
+    own = liked.join(users.withColumnRenamed("vec", "_u"), "user_id").join(items.withColumnRenamed("vec", "_i"), "movie_id")
+    level = F.round(dot(F.col("_u"), F.col("_i")), digits)
+    levels = own.groupBy("user_id").agg(F.collect_list(level).alias("levels"), F.count("*").alias("n_pos"))
+    asked = users.join(levels, "user_id")
+    seen = train.select(*pair).union(test.select(*pair)).join(levels.select("user_id"), "user_id", "left_semi")
+    counted = rank_sums(asked, items, "levels", seen=seen, digits=digits, **tiles)
+    joined = levels.select("user_id", "n_pos").join(counted, "user_id", "left")
+    n_neg = F.coalesce("n_others", F.lit(0).cast("long"))
+    auc = F.coalesce(F.col("won") / F.nullif(F.col("n_pos") * n_neg, F.lit(0)), F.lit(0.5))
+    return joined.select("user_id", "n_pos", n_neg.alias("n_neg"), auc.alias("auc"))
+
+
 def rating_errors(predicted: DataFrame, rating: str = "rating", estimate: str = "estimate") -> DataFrame:
     squared = F.pow(F.col(rating).cast("double") - F.col(estimate), F.lit(2.0))
     return predicted.agg(F.count("*").alias("n"), F.avg(squared).alias("mse")).withColumn("rmse", F.sqrt("mse"))

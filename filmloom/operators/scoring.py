@@ -28,8 +28,8 @@ QUERY_BLOCK_ROWS = 512
 _COLUMN_CHUNK = 2048
 
 
-def _pack_queries(rows: int, fields: list[str]):
-    """Arrow batches of query rows -> rows holding up to ``rows`` queries each."""
+def _pack_queries(rows: int, fields: list[str], levels: bool = False):
+    """Arrow batches of query rows -> rows holding up to ``rows`` queries each; a last column of ``levels`` stays nested."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -40,6 +40,8 @@ def _pack_queries(rows: int, fields: list[str]):
                 out["q_lens"] = [np.diff(np.asarray(first.offsets)).astype("int32")]
                 for name, column in zip(fields, piece.columns[2:]):
                     out[name] = [column.flatten().to_numpy(zero_copy_only=False)]
+                if levels:
+                    out["q_levels"] = [piece.columns[-1].to_pylist()]
                 yield pa.RecordBatch.from_pydict(
                     out,
                     schema=pa.schema(
@@ -51,6 +53,7 @@ def _pack_queries(rows: int, fields: list[str]):
                                 (n, pa.list_(c.type.value_type))
                                 for n, c in zip(fields, piece.columns[2:])
                             ],
+                            *([("q_levels", pa.list_(pa.list_(pa.float64())))] if levels else []),
                         ]
                     ),
                 )
@@ -166,29 +169,18 @@ def _item_blocks(items: DataFrame, item: str, fields: list[str], n_blocks: int)
     )
 
 
-def score_all_pairs(
+def _tiles(
     queries: DataFrame,
     items: DataFrame,
-    k: int,
-    query: str = "user_id",
-    item: str = "movie_id",
-    vec: str = "vec",
-    seen: DataFrame | None = None,
-    score: str = "score",
-    digits: int = 6,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    block_rows: int = ITEM_BLOCK_ROWS,
-) -> DataFrame:
-    """The ``k`` best items per query by inner product: (query, item, score, rank).
-
-    ``vec`` is an array column on both sides, or sparse when both sides carry
-    ``idx`` and ``val`` arrays instead. Scores are rounded before ranking and
-    ties go to the lower item id, so results do not depend on the tiling.
-
-    ``seen`` (query, item) pairs are left out exactly: they are gathered by query
-    and item block, travel with the query, and are masked inside the tile, so a tile
-    never returns more than ``k`` rows per query.
-    """
+    query: str,
+    item: str,
+    vec: str,
+    seen: DataFrame | None,
+    broadcast_bytes: int,
+    block_rows: int,
+    levels: str | None = None,
+) -> tuple[DataFrame, list[str], bool]:
+    """Every packed query row next to every item block, the columns a tile needs, and whether rows are sparse."""
     sparse = vec not in queries.columns
     fields = ["idx", "val"] if sparse else [vec]
     names = ["idx", "val"] if sparse else ["vec"]
@@ -201,7 +193,8 @@ def score_all_pairs(
     i_type = items.schema[item].dataType
     seen_type = f"array<struct<block:int,ids:array<{i_type.simpleString()}>>>"
     none = F.expr(f"cast(array() as {seen_type})")
-    asked = queries.select(F.col(query), *[F.col(f).alias(n) for f, n in zip(fields, names)])
+    more = [F.col(levels).alias("q_levels")] if levels else []
+    asked = queries.select(F.col(query), *[F.col(f).alias(n) for f, n in zip(fields, names)], *more)
     masked: Column = none
     if seen is not None:
         own = seen.select(query, F.col(item).cast(i_type).alias("_item")).where(F.col("_item").isNotNull())
@@ -210,7 +203,8 @@ def score_all_pairs(
         per_query = by_block.groupBy(query).agg(F.collect_list(F.struct("block", "ids")).alias("_seen"))
         asked = asked.join(per_query, query, "left")
         masked = F.coalesce(F.col("_seen").cast(seen_type), none)
-    asked = asked.select(query, masked.alias("_seen"), *names)
+    nested = ["q_levels"] if levels else []
+    asked = asked.select(query, masked.alias("_seen"), *names, *nested)
     q_fields = [f"q_{n}" for n in names]
     packed_schema = T.StructType(
         [
@@ -221,9 +215,10 @@ def score_all_pairs(
                 T.StructField(f, asked.schema[n].dataType)
                 for f, n in zip(q_fields, names)
             ],
+            *[T.StructField(n, T.ArrayType(T.ArrayType(T.DoubleType()))) for n in nested],
         ]
     )
-    packed = asked.mapInArrow(_pack_queries(QUERY_BLOCK_ROWS, q_fields), packed_schema)
+    packed = asked.mapInArrow(_pack_queries(QUERY_BLOCK_ROWS, q_fields, bool(levels)), packed_schema)
     tiles = spread_rows(packed).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
     here = F.transform(
         "q_seen", lambda s: F.flatten(F.transform(F.filter(s, lambda e: e["block"] == F.col("block")), lambda e: e["ids"]))
@@ -240,6 +235,34 @@ def score_all_pairs(
         joined = salted.join(copies.hint("shuffle_merge"), ["block", "salt"])
 
     needed = ["q_ids", "q_lens", *q_fields, "i_ids", "i_lens", *[f"i_{n}" for n in names]]
+    return joined.select(*needed, "q_seen", *nested), needed, sparse
+
+
+def score_all_pairs(
+    queries: DataFrame,
+    items: DataFrame,
+    k: int,
+    query: str = "user_id",
+    item: str = "movie_id",
+    vec: str = "vec",
+    seen: DataFrame | None = None,
+    score: str = "score",
+    digits: int = 6,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    block_rows: int = ITEM_BLOCK_ROWS,
+) -> DataFrame:
+    """The ``k`` best items per query by inner product: (query, item, score, rank).
+
+    ``vec`` is an array column on both sides, or sparse when both sides carry
+    ``idx`` and ``val`` arrays instead. Scores are rounded before ranking and
+    ties go to the lower item id, so results do not depend on the tiling.
+
+    ``seen`` (query, item) pairs are left out exactly: they are gathered by query
+    and item block, travel with the query, and are masked inside the tile, so a tile
+    never returns more than ``k`` rows per query.
+    """
+    joined, needed, sparse = _tiles(queries, items, query, item, vec, seen, broadcast_bytes, block_rows)
+    q_type, i_type = queries.schema[query].dataType, items.schema[item].dataType
     out_schema = T.StructType(
         [T.StructField(query, q_type), T.StructField(item, i_type), T.StructField(score, T.DoubleType())]
     )
@@ -251,5 +274,59 @@ def score_all_pairs(
             (score, pa.float64()),
         ]
     )
-    best = joined.select(*needed, "q_seen").mapInArrow(_score_tiles(k, digits, sparse, needed, arrow_out), out_schema)
+    best = joined.mapInArrow(_score_tiles(k, digits, sparse, needed, arrow_out), out_schema)
     return top_k_per_group(best, query, [F.desc(score), F.asc(item)], k).select(query, item, score, "rank")
+
+
+def _count_tiles(digits: int, sparse: bool, names: list[str], out_schema: pa.Schema):
+    tile = _sparse_tile if sparse else _dense_tile
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(name) for name in names]
+            masks, levels = batch.column("q_seen"), batch.column("q_levels")
+            for at in range(batch.num_rows):
+                row = {name: column[at].values.to_numpy(zero_copy_only=False) for name, column in zip(names, columns)}
+                if not len(row["q_ids"]) or not len(row["i_ids"]):
+                    continue
+                scores = np.round(tile(row), digits) + 0.0
+                _mask_seen(scores, row["i_ids"], masks[at].values)
+                won, others = [], []
+                for own, wanted in zip(np.sort(scores, axis=1), levels[at].as_py()):
+                    own = own[np.searchsorted(own, -np.inf, side="right") :]
+                    won.append(sum((np.searchsorted(own, wanted, side=s).sum() for s in ("left", "right"))) / 2.0)
+                    others.append(len(own))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row["q_ids"], out_schema.field(0).type), pa.array(won, pa.float64()), pa.array(others, pa.int64())],
+                    schema=out_schema,
+                )
+
+    return count
+
+
+def rank_sums(
+    queries: DataFrame,
+    items: DataFrame,
+    levels: str,
+    query: str = "user_id",
+    item: str = "movie_id",
+    vec: str = "vec",
+    seen: DataFrame | None = None,
+    digits: int = 6,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    block_rows: int = ITEM_BLOCK_ROWS,
+) -> DataFrame:
+    """(query, n_others, won) over all items but the query's ``seen`` ones.
+
+    ``levels`` is an array of scores per query; ``won`` adds up, over them, how many items score lower, equal ones by half.
+    A tile returns two numbers a query, so nothing grows with the catalog but the products themselves.
+    """
+    joined, needed, sparse = _tiles(queries, items, query, item, vec, seen, broadcast_bytes, block_rows, levels)
+    q_type = queries.schema[query].dataType
+    schema = T.StructType(
+        [T.StructField(query, q_type), T.StructField("won", T.DoubleType()), T.StructField("n", T.LongType())]
+    )
+    arrow_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[q_type.simpleString()]
+    arrow_out = pa.schema([(query, arrow_type), ("won", pa.float64()), ("n", pa.int64())])
+    parts = joined.mapInArrow(_count_tiles(digits, sparse, needed, arrow_out), schema)
+    return parts.groupBy(query).agg(F.sum("n").alias("n_others"), F.sum("won").alias("won"))

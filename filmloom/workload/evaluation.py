@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filmloom.functions.text import content_text
+from filmloom.models.linear import fold_in
 from filmloom.operators import interactions, metrics
 from filmloom.operators.features import tfidf
 from filmloom.plans.comparison import long_metrics
@@ -14,7 +15,7 @@ from filmloom.sources import surrogates as s
 from filmloom.sources.surrogates import with_views
 from filmloom.workload.joins import split
 from filmloom.workload.registry import query
-from filmloom.workload.sqlparts import METRICS, POPULAR_MODEL, TWO_MODELS
+from filmloom.workload.sqlparts import EMBEDDED, METRICS, POPULAR_MODEL, TWO_MODELS
 
 
 def _popular_model(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -146,6 +147,32 @@ def user_auc(spark: SparkSession, d: str) -> DataFrame:
     return metrics.user_auc(scores, test, train).withColumn("auc", F.round("auc", 9))
 
 
+@query(
+    "factor_auc",
+    with_views(["split"], EMBEDDED)
+    + """, liked AS (SELECT user_id, pos, avg(x) AS x FROM train JOIN cells USING (movie_id) GROUP BY 1, 2),
+u AS (SELECT user_id, list(x ORDER BY pos) AS vec FROM liked GROUP BY user_id),
+scored AS (
+  SELECT u.user_id, e.movie_id, round(list_inner_product(u.vec, e.vec), 6) AS score,
+         CASE WHEN t.user_id IS NULL THEN 0 ELSE 1 END AS pos
+  FROM u JOIN emb e ON true LEFT JOIN test t ON t.user_id = u.user_id AND t.movie_id = e.movie_id
+  WHERE NOT EXISTS (SELECT 1 FROM train x WHERE x.user_id = u.user_id AND x.movie_id = e.movie_id)),
+ranked AS (
+  SELECT *, rank() OVER (PARTITION BY user_id ORDER BY score)
+    + (count(*) OVER (PARTITION BY user_id, score) - 1) / 2.0::DOUBLE AS avg_rank FROM scored),
+sums AS (SELECT user_id, sum(pos) AS p, sum(1 - pos) AS n, sum(CASE WHEN pos = 1 THEN avg_rank ELSE 0 END) AS rs
+  FROM ranked GROUP BY user_id)
+SELECT user_id, CAST(p AS BIGINT) AS n_pos, CAST(n AS BIGINT) AS n_neg,
+  round(coalesce((rs - p * (p + 1) / 2.0::DOUBLE) / nullif(p * n, 0), 0.5), 4) AS auc FROM sums WHERE p > 0""",
+)
+def factor_auc(spark: SparkSession, d: str) -> DataFrame:
+    """Users as the mean of their train films' embeddings, measured over all embedded films."""
+    train, test = split(spark, d)
+    items = s.embeddings(spark, d).select("movie_id", F.transform("embedding", lambda x: x.cast("double")).alias("vec"))
+    users = fold_in(train, items, weight=None)
+    return metrics.factor_auc(users, items, test, train).withColumn("auc", F.round("auc", 4))
+
+
 @query(
     "rating_errors",
     with_views(["ratings"])

@@ -9,9 +9,10 @@ from filmloom.models import explicit, graph, linear, ranking_loss
 from filmloom.operators.features import identity_plus_features, tfidf
 from filmloom.operators.interactions import random_split
 from filmloom.operators.metrics import rating_errors
+from filmloom.operators.relational import index_ids
 from filmloom.plans.recommend import recommend_bpr_content as bpr_lists
 from filmloom.plans.recommend import recommend_factors
-from filmloom.session import cut_lineage
+from filmloom.session import StepTables, cut_lineage
 from filmloom.sources import surrogates as s
 from filmloom.sources.surrogates import with_views
 from filmloom.workload.aggregates import _EDGES_SQL
@@ -121,6 +122,55 @@ def _ranking_lists(train: DataFrame, k: int = 20, **fit: object) -> DataFrame:
     return recommend_factors(model.users, model.items, k, seen=seen)
 
 
+@query(
+    "ranking_step",
+    with_views(["split"])
+    + """, idx AS (SELECT movie_id, row_number() OVER (ORDER BY md5(CAST(movie_id AS VARCHAR)), movie_id) - 1 AS film
+  FROM (SELECT DISTINCT movie_id FROM train)),
+keys AS (SELECT 'feature' AS kind, film AS id, md5(film || '-0-42') AS h, 0.0::DOUBLE AS tail FROM idx
+  UNION ALL SELECT DISTINCT 'user', user_id, md5(user_id || '-0-43'), 1.0::DOUBLE FROM train),
+w AS (SELECT kind, id, tail, list_transform([1, 9, 17, 25], lambda p: (CAST('0x' || substr(h, p, 8) AS BIGINT) + 1) / 4294967297.0::DOUBLE) AS w FROM keys),
+st AS (SELECT kind, id, [sqrt(-2 * ln(w[1])) * 0.25 * cos(2 * pi() * w[2]), sqrt(-2 * ln(w[1])) * 0.25 * sin(2 * pi() * w[2]),
+                         sqrt(-2 * ln(w[3])) * 0.25 * cos(2 * pi() * w[4]), sqrt(-2 * ln(w[3])) * 0.25 * sin(2 * pi() * w[4]), tail] AS vec FROM w),
+pairs AS (SELECT user_id, movie_id, film FROM train JOIN idx USING (movie_id)),
+n AS (SELECT count(*) AS n FROM idx),
+drawn AS (SELECT p.user_id, p.film, r, CAST('0x' || substr(md5(p.user_id || '-' || p.movie_id || '-0-' || r || '-42'), 1, 12) AS BIGINT) % n AS other
+  FROM pairs p CROSS JOIN range(1, 11) t(r) CROSS JOIN n),
+open_ AS (SELECT d.* FROM drawn d JOIN st u ON u.kind = 'user' AND u.id = d.user_id JOIN st i ON i.kind = 'feature' AND i.id = d.film
+  JOIN st j ON j.kind = 'feature' AND j.id = d.other
+  WHERE list_inner_product(u.vec, i.vec) - list_inner_product(u.vec, j.vec) < 1.0
+    AND NOT EXISTS (SELECT 1 FROM pairs p WHERE p.user_id = d.user_id AND p.film = d.other)),
+first AS (SELECT user_id, film, min(r) AS draw, arg_min(other, r) AS other FROM open_ GROUP BY 1, 2),
+sized AS (SELECT f.*, least(10.0::DOUBLE, ln(greatest(1, (n - 1) // draw))) AS size FROM first f CROSS JOIN n),
+g AS (SELECT s.user_id, s.film, s.other, size, u.vec AS vu, i.vec AS vi, j.vec AS vj
+  FROM sized s JOIN st u ON u.kind = 'user' AND u.id = s.user_id JOIN st i ON i.kind = 'feature' AND i.id = s.film
+  JOIN st j ON j.kind = 'feature' AND j.id = s.other WHERE size > 0),
+parts AS (SELECT 'user' AS kind, user_id AS id, pos, CASE WHEN pos < 5 THEN size * (vj[pos] - vi[pos]) ELSE 0 END AS x FROM g CROSS JOIN range(1, 6) t(pos)
+  UNION ALL SELECT 'feature', film, pos, -size * vu[pos] FROM g CROSS JOIN range(1, 6) t(pos)
+  UNION ALL SELECT 'feature', other, pos, size * vu[pos] FROM g CROSS JOIN range(1, 6) t(pos)),
+summed AS (SELECT kind, id, pos, sum(x) AS x FROM parts GROUP BY 1, 2, 3),
+grads AS (SELECT kind, id, list(x ORDER BY pos) AS x, 1.0::DOUBLE + sum(x * x) / 5 AS total FROM summed GROUP BY 1, 2),
+moved AS (SELECT st.kind, st.id, coalesce(total, 1.0) AS total,
+    CASE WHEN x IS NULL THEN vec ELSE list_transform([1, 2, 3, 4, 5], lambda p: vec[p] - 0.05::DOUBLE * x[p] / sqrt(total)) END AS vec
+  FROM st LEFT JOIN grads USING (kind, id))
+SELECT kind, id, round(vec[1], 6) AS x0, round(vec[2], 6) AS x1, round(vec[3], 6) AS x2, round(vec[4], 6) AS x3, round(vec[5], 6) AS x4,
+  round(total, 6) AS total FROM moved""",
+)
+def ranking_step(spark: SparkSession, d: str) -> DataFrame:
+    """State of a WARP model of four dimensions after one step over all interactions."""
+    train, _ = split(spark, d)
+    tables = StepTables(spark)
+    films = tables.save(index_ids(train.select("movie_id").distinct(), "movie_id", "film"), "films")
+    pairs = tables.save(ranking_loss.interactions(train, films, None), "pairs")
+    users = pairs.select(F.col("user").alias("id")).distinct()
+    state = tables.save(ranking_loss.start_state(users, films.select(F.col("film").alias("id")), 4, 42), "state")
+    catalog = ranking_loss.Catalog(films, None, films, films.count(), users.count())
+    own = state.where("kind = 'user'").select(F.col("id").alias("user"), "vec")
+    gradient = ranking_loss.gradients(pairs, pairs, own, catalog.vectors(state, 5), catalog, "warp", 0, 42, 4)
+    moved = ranking_loss.adagrad(state, gradient, 0.05, 5)
+    return moved.select("kind", "id", *[F.round(F.col("vec")[i], 6).alias(f"x{i}") for i in range(5)], F.round("total", 6).alias("total"))
+
+
 @query("train_warp")
 def train_warp(spark: SparkSession, d: str) -> DataFrame:
     return _ranking_lists(split(spark, d)[0], loss="warp", epochs=10)

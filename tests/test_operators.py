@@ -234,3 +234,26 @@ def test_masked_cells_never_leave_a_tile():
 
     scores = np.array([[3.0, -np.inf, 1.0, 1.0], [-np.inf] * 4, [2.0, 2.0, 2.0, -np.inf]])
     assert _best_mask(scores, 2).tolist() == [[True, False, True, False], [False] * 4, [True, True, False, False]]
+
+
+@pytest.mark.parametrize("options", [{}, {"block_rows": 7}, {"block_rows": 16, "broadcast_bytes": 0}])
+def test_factor_auc_against_all_pairs(spark, options):
+    rng = np.random.default_rng(4)
+    u, v = rng.integers(-3, 4, (9, 3)).astype(float), rng.integers(-3, 4, (50, 3)).astype(float)
+    users = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(u)], "user_id bigint, vec array<double>")
+    items = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "movie_id bigint, vec array<double>")
+    train = {(int(a), int(b)) for a, b in rng.integers(0, 50, (80, 2)) % [9, 50]}
+    test = {(int(a), int(b)) for a, b in rng.integers(0, 60, (60, 2)) % [8, 60]} - train
+    train |= {(7, i) for i in range(50)} - test  # no negatives left
+    frames = [spark.createDataFrame(sorted(x), "user_id bigint, movie_id bigint") for x in (train, test)]
+    got = {r.user_id: (r.n_pos, r.n_neg, r.auc) for r in metrics.factor_auc(users, items, frames[1], frames[0], **options).collect()}
+    for user in range(9):
+        liked = [i for i in range(50) if (user, i) in test]
+        others = [i for i in range(50) if (user, i) not in test and (user, i) not in train]
+        if not liked:
+            assert user not in got
+            continue
+        scores = v @ u[user]
+        won = sum((scores[p] > scores[n]) + 0.5 * (scores[p] == scores[n]) for p in liked for n in others)
+        assert got[user][:2] == (len(liked), len(others))
+        assert got[user][2] == pytest.approx(won / (len(liked) * len(others)) if others else 0.5)
