@@ -25,7 +25,9 @@ from pyspark.sql import types as T
 
 from filmloom.llm.common import Scratch, slices, worker_cache
 
-SKETCH_BITS = 256
+SKETCH_BITS, MOST_SKETCH_BITS = 256, 1 << 24
+#: Bytes of sketches that are compared at once.
+COMPARED = 1 << 24
 
 
 class Rule(NamedTuple):
@@ -40,6 +42,12 @@ class Rule(NamedTuple):
     denominator: int = 10
     prefix: bool = False
     sketch_bits: int = SKETCH_BITS
+    #: Whether a sketch has at least one bit per element. Fewer say nothing about large sets, and all of them would meet.
+    sized: bool = False
+
+    def bits(self, n: int) -> int:
+        wanted = 1 << max(0, n - 1).bit_length()
+        return max(self.sketch_bits, min(wanted, MOST_SKETCH_BITS)) if self.sized else self.sketch_bits
 
 
 CONTRACT = Rule()
@@ -183,7 +191,7 @@ def features(docs: DataFrame, key: str, text: str, rule: Rule) -> DataFrame:
                 sizes.append(n)
                 classes.append(int(digest[0]))
                 checks.append(int(digest[1]))
-                sketches.append(parity(values, rule.sketch_bits))
+                sketches.append(parity(values, rule.bits(n)))
                 names.append(signatures(values, bands[n], rule).view(np.int64) if n else np.empty(0, np.int64))
             ends = np.cumsum([0, *map(len, names)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(names)))
@@ -197,6 +205,20 @@ def features(docs: DataFrame, key: str, text: str, rule: Rule) -> DataFrame:
 PAIRS = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
+def folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of one width, the shortest one's: halves added up are the sketch of half as many slots."""
+    least, rows = min(map(len, sketches)), []
+    if len(sketches[0]) == least == max(map(len, sketches)):
+        return np.frombuffer(b"".join(sketches), np.uint64).reshape(len(sketches), -1)
+    for sketch in sketches:
+        row = np.frombuffer(sketch, np.uint64)
+        while row.nbytes > least:
+            half = len(row) // 2
+            row = row[:half] ^ row[half:]
+        rows.append(row)
+    return np.stack(rows)
+
+
 def _group_pairs(members: list[tuple], most: int | None, rule: Rule) -> set[tuple[int, int]]:
     """Pairs of one group (or of two of its blocks) that may reach the threshold and are not joined yet.
 
@@ -205,13 +227,14 @@ def _group_pairs(members: list[tuple], most: int | None, rule: Rule) -> set[tupl
     members.sort(key=lambda m: (-m[3], m[0]))
     ids = np.array([m[0] for m in members])
     size = np.array([m[1] for m in members])
-    sketch = np.frombuffer(b"".join(m[2] for m in members), np.uint64).reshape(len(members), -1)
+    sketch = folded([m[2] for m in members])
     joined = np.array([m[4] for m in members])
     block = np.array([m[5] for m in members])
     across = block.min() != block.max()
     found = set()
-    for start in range(0, len(members), 128):
-        rows = slice(start, start + 128)
+    step = max(1, min(128, COMPARED // sketch.nbytes))
+    for start in range(0, len(members), step):
+        rows = slice(start, start + step)
         apart = np.bitwise_count(sketch[rows, None, :] ^ sketch[None, :, :]).sum(axis=2, dtype=np.int32)
         total = size[rows, None] + size[None, :]
         small, large = np.minimum(size[rows, None], size[None, :]), np.maximum(size[rows, None], size[None, :])

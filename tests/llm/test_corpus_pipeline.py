@@ -132,3 +132,41 @@ def test_near_copies_under_repeated_and_null_ids(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     left = [tuple(r) for r in corpus_pipeline.drop_near_copies(spark, docs, SF).collect()]
     assert sorted((str(i), (t or "")[:1]) for i, t in left) == [("7", "a"), ("7", "b"), ("9", ""), ("9", ""), ("None", "c")]
+
+
+def test_folded_sketches_are_sketches_of_fewer_slots():
+    rng = np.random.default_rng(3)
+    for n in (1, 300, 5000):
+        values = rng.integers(0, 2**63, n).astype(np.uint64)
+        wide, narrow = shingle_join.parity(values, 4096), shingle_join.parity(values, 512)
+        assert (shingle_join.folded([wide, narrow])[0] == shingle_join.folded([narrow])[0]).all()
+    rule = corpus_pipeline.NEAR_COPIES
+    assert rule.bits(10) == 512 and rule.bits(20_000) == 32_768 and shingle_join.CONTRACT.bits(20_000) == 256
+
+
+def test_candidates_grow_with_the_rows(spark, tmp_path):
+    """Long unrelated texts that share a passage: five times the texts, at most six times the candidate pairs."""
+    from filmloom.llm.common import Scratch
+
+    class Kept(Scratch):
+        def save(self, df, name):
+            out = super().save(df, name)
+            if name.startswith("pairs-") and name[6:].isdigit():
+                counts.append(out.count())
+            return out
+
+    rng, found = random.Random(8), []
+    passage = " ".join(f"p{i}" for i in range(60))
+    for n in (40, 200):
+        texts = []
+        for family in range(n):
+            base = [f"w{family}x{rng.randrange(10**6)}" for _ in range(3000)]
+            texts.append(" ".join([*base, passage]))
+            if family % 4 == 0:
+                texts.append(" ".join([*base[:2900], passage]))
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        counts = []
+        rows = shingle_join.similar_classes(docs, Kept(spark), rule=corpus_pipeline.NEAR_COPIES).collect()
+        assert len({r["component"] for r in rows}) == n
+        found.append(sum(counts))
+    assert 0 < found[0] and found[1] <= 6 * found[0]
