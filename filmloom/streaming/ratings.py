@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -88,7 +90,8 @@ def stream_upsert_ratings(stream: DataFrame, table: str, checkpoint: str) -> Str
 
     Batches land in ``table/delta/batch=<id>`` and a replayed batch rewrites its
     own folder, so the result is the same after a failure. Old values give way
-    when the table is read (``current_ratings``) or compacted.
+    when the table is read (``current_ratings``) or compacted (``compact_ratings``); ``drop_merged`` removes what
+    compaction has replaced.
     """
 
     def save(batch: DataFrame, batch_id: int) -> None:
@@ -103,26 +106,82 @@ def stream_upsert_ratings(stream: DataFrame, table: str, checkpoint: str) -> Str
     )
 
 
-def _base_version(spark: SparkSession, table: str) -> int:
-    if not path_exists(spark, f"{table}/base"):
-        return -1
-    return spark.read.parquet(f"{table}/base").agg(F.max("upto")).first()[0]
+#: A marker names the base that holds all batches up to one; it is written after its base, and readers follow the last.
+_MARKER = "upto long, base string"
+
+
+def _marker(spark: SparkSession, table: str) -> tuple[int, str | None]:
+    """Last batch inside the committed base, and the base's folder."""
+    if not path_exists(spark, f"{table}/commits"):
+        return -1, None
+    row = spark.read.schema(_MARKER).parquet(f"{table}/commits").orderBy(F.desc("upto"), "base").first()
+    return (row["upto"], row["base"]) if row else (-1, None)
 
 
 def current_ratings(spark: SparkSession, table: str) -> DataFrame:
-    """The latest rating per (user, film): the newest base and the batches after it."""
-    upto = _base_version(spark, table)
+    """The latest rating per (user, film): the committed base and the batches after it.
+
+    A base without marker is an unfinished or failed compaction and is not looked at.
+    """
+    upto, base = _marker(spark, table)
+    reader = spark.read
+    if base is not None:
+        merged = spark.read.parquet(f"{table}/{base}")
+        reader = reader.schema(T.StructType([*merged.schema, T.StructField("batch", T.LongType())]))
     # A file-level filter on the partition column: merged batches are not read.
-    rows = spark.read.parquet(f"{table}/delta").where(F.col("batch") > upto)
-    if upto >= 0:
-        base = spark.read.parquet(f"{table}/base").where(F.col("upto") == upto).drop("upto")
-        rows = base.withColumn("batch", F.lit(-1)).unionByName(rows)
+    rows = reader.parquet(f"{table}/delta").where(F.col("batch") > upto)
+    if base is not None:
+        rows = merged.withColumn("batch", F.lit(-1)).unionByName(rows)
     return dedup_keep_first(rows, ["user_id", "movie_id"], ["ts", "batch", "rating"], last=True).drop("batch")
 
 
 def compact_ratings(spark: SparkSession, table: str) -> int:
-    """Merges all batches so far into a new base; returns the last batch it holds."""
-    upto = spark.read.parquet(f"{table}/delta").agg(F.max("batch")).first()[0]
-    if upto > _base_version(spark, table):
-        current_ratings(spark, table).write.mode("overwrite").parquet(f"{table}/base/upto={upto}")
-    return upto
+    """Merges all batches so far into a new base; returns the last batch it holds.
+
+    The base has a folder of its own and its marker comes last, so readers see the old state or the new one, and a
+    compaction that fails leaves nothing they would read.
+    """
+    upto, _ = _marker(spark, table)
+    batches = [b for b in _batches(spark, table) if b > upto]
+    if not batches:
+        return upto
+    last = max(batches)
+    base = f"base/{last}-{uuid.uuid4().hex}"
+    rows = current_ratings(spark, table)  # batches that arrive from here on may be in it; reading them again changes nothing
+    rows.write.parquet(f"{table}/{base}")
+    spark.createDataFrame([(last, base)], _MARKER).coalesce(1).write.mode("append").parquet(f"{table}/commits")
+    return last
+
+
+def _children(spark: SparkSession, folder: str):
+    """(path, name, modification time in seconds) of what lies in a folder."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return system, []
+    return system, [(f.getPath(), f.getPath().getName(), f.getModificationTime() / 1000) for f in system.listStatus(path)]
+
+
+def _batches(spark: SparkSession, table: str) -> list[int]:
+    names = [name for _, name, _ in _children(spark, f"{table}/delta")[1]]
+    return [int(name.removeprefix("batch=")) for name in names if name.startswith("batch=")]
+
+
+def drop_merged(spark: SparkSession, table: str, grace_seconds: float = 86_400.0) -> int:
+    """Removes batches and bases that the last marker replaces, once it is older than the grace period readers get.
+
+    Returns how many folders went. Newer bases without marker stay: a compaction may be writing them.
+    """
+    upto, base = _marker(spark, table)
+    markers = [changed for _, name, changed in _children(spark, f"{table}/commits")[1] if name.endswith(".parquet")]
+    if base is None or time.time() - max(markers) < grace_seconds:
+        return 0
+    gone = 0
+    for folder in ("delta", "base"):
+        system, entries = _children(spark, f"{table}/{folder}")
+        for path, name, _ in entries:
+            number = name.removeprefix("batch=").split("-")[0]
+            old = number.isdigit() and int(number) <= upto and f"{folder}/{name}" != base
+            if old and system.delete(path, True):
+                gone += 1
+    return gone

@@ -60,6 +60,20 @@ def test_upserts_and_compaction(spark, batches):
     assert {tuple(r) for r in streaming.current_ratings(spark, table).select(*everything.columns).collect()} == want
     assert streaming.compact_ratings(spark, table) == streaming.compact_ratings(spark, table)
     assert {tuple(r) for r in streaming.current_ratings(spark, table).select(*everything.columns).collect()} == want
+    # An unfinished compaction: a newer base without marker is not read, and stays when merged folders go.
+    everything.limit(0).write.parquet(f"{table}/base/99999-unfinished")
+    assert {tuple(r) for r in streaming.current_ratings(spark, table).select(*everything.columns).collect()} == want
+    assert streaming.drop_merged(spark, table, 3600) == 0
+    n_batches = len(streaming._batches(spark, table))
+    assert streaming.drop_merged(spark, table, 0) == n_batches > 0 and not streaming._batches(spark, table)
+    assert {tuple(r) for r in streaming.current_ratings(spark, table).select(*everything.columns).collect()} == want
+    newer = everything.limit(1).withColumn("ts", F.expr("ts + interval 4000 days")).cache()
+    newer.write.parquet(f"{table}/delta/batch=500")
+    replaced = {r for r in want if r[:2] != tuple(newer.select("user_id", "movie_id").first())} | {tuple(newer.first())}
+    for _ in range(2):
+        got = {tuple(r) for r in streaming.current_ratings(spark, table).select(*everything.columns).collect()}
+        assert got == replaced
+        assert streaming.compact_ratings(spark, table) == 500
     again = upsert_ratings(everything.limit(0), everything)
     assert {tuple(r) for r in again.collect()} == want
 
