@@ -53,8 +53,8 @@ def same_for_all(users: DataFrame, ids: Column, k: int, skip: str | None = None)
     ).drop("_at")
 
 
-def recommend_popular(train: DataFrame, k: int = 10) -> DataFrame:
-    """Most-liked train films a user has not seen: the yardstick for every model.
+def recommend_popular(train: DataFrame, k: int = 10, users: DataFrame | None = None) -> DataFrame:
+    """Most-liked train films a user has not seen: the yardstick for every model. ``users`` asks for some users only.
 
     A user who has seen s films finds k unseen ones among the first k + s of the
     popular order, so only those positions are looked up, not the catalog.
@@ -62,6 +62,8 @@ def recommend_popular(train: DataFrame, k: int = 10) -> DataFrame:
     likes = train.groupBy("movie_id").agg(F.count("*").cast("double").alias("score"))
     order = global_positions(likes, [F.desc("score"), F.asc("movie_id")])
     n_items = order.count()
+    if users is not None:
+        train = train.join(users.select("user_id").distinct(), "user_id", "left_semi")
     wanted = train.groupBy("user_id").agg(F.least(F.count("*") + k, F.lit(n_items)).alias("_upto"))
     offered = wanted.select("user_id", F.explode(F.sequence(F.lit(1), F.col("_upto"))).alias("position"))
     films = offered.join(bounded_broadcast(order, n_items, 3), "position")
@@ -212,7 +214,12 @@ def recommend_cold_start(
     metric: str = "cosine",
     users: DataFrame | None = None,
 ) -> DataFrame:
-    """Mean vector of favourite films against the catalog; without known favourites, popular films."""
+    """Mean vector of favourite films against the catalog; without known favourites, popular films.
+
+    With ``users``, only these get lists, and only these are scored.
+    """
+    if users is not None:
+        favorites = favorites.join(users.select("user_id").distinct(), "user_id", "left_semi")
     known = favorites.select("user_id", "movie_id").distinct().join(item_vectors.select("movie_id"), "movie_id", "left_semi")
     profile = mean_vector(
         known.join(item_vectors, "movie_id"), "user_id", "vec", size=vector_size(item_vectors, "vec")

@@ -12,6 +12,7 @@ from filmloom.operators.features import tfidf
 from filmloom.operators.interactions import binarize_positive, rescale_1_5
 from filmloom.operators.relational import top_k_per_group
 from filmloom.plans import lifecycle, recommend
+from filmloom.session import cut_lineage
 from filmloom.sources import surrogates as s
 from filmloom.sources.surrogates import with_views
 from filmloom.workload.features import dense_features
@@ -76,10 +77,10 @@ def recommend_from_liked(spark: SparkSession, d: str) -> DataFrame:
     return recommend.recommend_from_liked(liked, dense_features(spark, d), movies, 5)
 
 
-def _cold_lists(spark: SparkSession, d: str, k: int) -> DataFrame:
+def _cold_lists(spark: SparkSession, d: str, k: int, users: DataFrame | None = None) -> DataFrame:
     favorites = binarize_positive(s.ratings(spark, d))
     return recommend.recommend_cold_start(
-        favorites, _item_vectors(spark, d), s.movies(spark, d), k, users=_customers(spark, d)
+        favorites, _item_vectors(spark, d), s.movies(spark, d), k, users=_customers(spark, d) if users is None else users
     )
 
 
@@ -222,8 +223,13 @@ SELECT l.user_id, movie_id, CAST(rank AS INTEGER) AS rank, stage, strategy,
 FROM lists l JOIN stages s ON s.user_id = l.user_id AND s.strategy = l.wanted""",
 )
 def recommend_routed(spark: SparkSession, d: str) -> DataFrame:
-    collab = recommend.recommend_popular(split(spark, d)[0], 30)
-    return lifecycle.recommend_routed(_stages(spark, d), _cold_lists(spark, d, 30), collab, 10)
+    train = split(spark, d)[0]
+    return lifecycle.recommend_routed(
+        cut_lineage(_stages(spark, d)),
+        lambda users: _cold_lists(spark, d, 30, users),
+        lambda users: recommend.recommend_popular(train, 30, users),
+        10,
+    )
 
 
 @query(

@@ -116,5 +116,10 @@ def test_stages_and_routing(spark):
     assert len(rows) == 12
     alone = lifecycle.recommend_routed(stages, content, None, k=4).collect()
     assert sum(r.user_id == 4 for r in alone) == 2 and {r.strategy for r in alone if r.user_id == 6} == {"content-based"}
+    asked = []
+    engines = [lambda users, lists=x: asked.append({r.user_id for r in users.collect()}) or lists for x in (content, collab)]
+    assert sorted(lifecycle.recommend_routed(stages, *engines, k=2).collect()) == sorted(rows)
+    wanted = {r.user_id: r.strategy for r in lifecycle.route_strategy(stages).collect()}
+    assert asked == [{u for u, x in wanted.items() if x in names} for names in (("content-based", "hybrid"), ("collaborative", "hybrid"))]
     forced = lifecycle.recommend_routed(stages, content, collab, k=2, force="collaborative").collect()
     assert {r.strategy for r in forced} == {"collaborative"}
