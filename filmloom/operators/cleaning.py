@@ -6,6 +6,8 @@ so every cleaner takes ``order_by``: the columns that make up a total order.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +26,10 @@ from filmloom.operators.relational import dedup_keep_first, keep_existing, key_o
 from filmloom.schemas import NAMED_ENTITY, PERSON_CAST, PERSON_CREW, RATING_MAX, RATING_MIN
 
 Order = list[Column | str]
+#: Called with the name of a step and its rows; hands the rows on.
+Watch = Callable[[str, DataFrame], DataFrame]
 
+# Names and order of the cleaned film columns.
 MOVIE_COLUMNS = [
     "id", "imdb_id", "title", "original_title", "original_language", "overview", "tagline", "status",
     "adult", "video", "budget", "revenue", "runtime", "vote_count", "vote_average", "popularity",
@@ -34,13 +39,18 @@ MOVIE_COLUMNS = [
 ]
 
 
+def unwatched(step: str, df: DataFrame) -> DataFrame:
+    return df
+
+
 def _keyed(raw: DataFrame, column: str = "id") -> DataFrame:
     return raw.withColumn(column, coerce_id(F.col(column))).where(F.col(column).isNotNull())
 
 
-def clean_movies(raw: DataFrame, order_by: Order) -> DataFrame:
+def clean_movies(raw: DataFrame, order_by: Order, watch: Watch = unwatched) -> DataFrame:
     """Typed films, one per id. Duplicates are judged on the raw id text, as in the file."""
-    first = _keyed(dedup_keep_first(raw, ["id"], order_by))
+    distinct = watch("movies: distinct id", dedup_keep_first(watch("movies: read", raw), ["id"], order_by))
+    first = watch("movies: whole id", _keyed(distinct))
     names = {
         "genre_names": ("genres", "name"),
         "production_company_names": ("production_companies", "name"),
@@ -74,9 +84,18 @@ def _text(value: Column) -> Column:
     return clean_text(F.coalesce(value, F.lit("")))
 
 
+def distinct_films(raw: DataFrame, order_by: Order, watch: Watch = unwatched, table: str = "credits") -> DataFrame:
+    """Rows with a whole film id, one per film."""
+    keyed = watch(f"{table}: whole id", _keyed(watch(f"{table}: read", raw)))
+    return watch(f"{table}: distinct id", dedup_keep_first(keyed, ["id"], order_by))
+
+
 def explode_cast(raw: DataFrame, order_by: Order) -> DataFrame:
     """One row per cast member; films without people give no row."""
-    first = dedup_keep_first(_keyed(raw), ["id"], order_by)
+    return cast_rows(distinct_films(raw, order_by))
+
+
+def cast_rows(first: DataFrame) -> DataFrame:
     people = first.select(
         F.col("id").alias("movie_id"), F.explode(parse_literal_list(F.col("cast"), PERSON_CAST)).alias("p")
     )
@@ -93,7 +112,10 @@ def explode_cast(raw: DataFrame, order_by: Order) -> DataFrame:
 
 
 def explode_crew(raw: DataFrame, order_by: Order) -> DataFrame:
-    first = dedup_keep_first(_keyed(raw), ["id"], order_by)
+    return crew_rows(distinct_films(raw, order_by))
+
+
+def crew_rows(first: DataFrame) -> DataFrame:
     people = first.select(
         F.col("id").alias("movie_id"), F.explode(parse_literal_list(F.col("crew"), PERSON_CREW)).alias("p")
     )
@@ -112,9 +134,9 @@ def clean_credits(raw: DataFrame, order_by: Order) -> tuple[DataFrame, DataFrame
     return explode_cast(raw, order_by), explode_crew(raw, order_by)
 
 
-def explode_keywords(raw: DataFrame, order_by: Order) -> DataFrame:
+def explode_keywords(raw: DataFrame, order_by: Order, watch: Watch = unwatched) -> DataFrame:
     """(movie_id, keyword_id, keyword), one row per keyword of a film."""
-    first = dedup_keep_first(_keyed(raw), ["id"], order_by)
+    first = distinct_films(raw, order_by, watch, "keywords")
     words = first.select(
         F.col("id").alias("movie_id"), F.explode(parse_literal_list(F.col("keywords"), NAMED_ENTITY)).alias("k")
     )
@@ -150,13 +172,15 @@ def typed_ratings(raw: DataFrame) -> DataFrame:
     )
 
 
-def clean_ratings(raw: DataFrame, order_by: Order) -> DataFrame:
-    return dedup_keep_first(typed_ratings(raw), ["userId", "movieId"], order_by)
+def clean_ratings(raw: DataFrame, order_by: Order, watch: Watch = unwatched) -> DataFrame:
+    valid = watch("ratings: valid", typed_ratings(watch("ratings: read", raw)))
+    return watch("ratings: distinct pair", dedup_keep_first(valid, ["userId", "movieId"], order_by))
 
 
-def clean_links(raw: DataFrame, order_by: Order) -> DataFrame:
-    typed = raw.withColumns({c: coerce_id(F.col(c)) for c in ("movieId", "imdbId", "tmdbId")})
-    return dedup_keep_first(typed.where(F.col("movieId").isNotNull()), ["movieId"], order_by)
+def clean_links(raw: DataFrame, order_by: Order, watch: Watch = unwatched) -> DataFrame:
+    typed = watch("links: read", raw).withColumns({c: coerce_id(F.col(c)) for c in ("movieId", "imdbId", "tmdbId")})
+    keyed = watch("links: whole id", typed.where(F.col("movieId").isNotNull()))
+    return watch("links: distinct id", dedup_keep_first(keyed, ["movieId"], order_by))
 
 
 def map_ratings_to_movies(ratings: DataFrame, links: DataFrame) -> DataFrame:
@@ -200,17 +224,21 @@ def check_rating_overlap(movies: DataFrame, ratings: DataFrame) -> DataFrame:
     return counted
 
 
-def build_final(movies: DataFrame, ratings: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+def build_final(
+    movies: DataFrame, ratings: DataFrame, links: DataFrame, watch: Watch = unwatched
+) -> tuple[DataFrame, DataFrame]:
     """Films and ratings under one id system: (movies, ratings)."""
-    final_movies = dedup_keep_first(
-        movies.withColumnRenamed("id", "movie_id").where(F.col("movie_id").isNotNull()), ["movie_id"], ["title"]
-    )
-    renamed = ratings.withColumnsRenamed({"userId": "user_id", "movieId": "movielens_id"})
+    keyed = watch("catalog: read", movies).withColumnRenamed("id", "movie_id").where(F.col("movie_id").isNotNull())
+    whole = F.to_json(F.struct(*keyed.columns))
+    final_movies = watch("catalog: distinct id", dedup_keep_first(keyed, ["movie_id"], ["title", whole]))
+    renamed = watch("rated: read", ratings).withColumnsRenamed({"userId": "user_id", "movieId": "movielens_id"})
     mapping = links.withColumnsRenamed({"movieId": "movielens_id", "tmdbId": "tmdb_id"})
-    mapped = semi_join_catalog(map_ratings_to_movies(renamed, mapping), final_movies)
+    linked = watch("rated: linked", map_ratings_to_movies(renamed, mapping))
+    catalog = movies.select(F.col("id").alias("movie_id")).where("movie_id IS NOT NULL").distinct()  # a watch counts one use
+    mapped = watch("rated: in catalog", semi_join_catalog(linked, catalog))
     final_ratings = dedup_keep_first(
         mapped.select("user_id", "movie_id", "movielens_id", "rating", "timestamp"),
         ["user_id", "movie_id"],
         ["movielens_id", "timestamp", "rating"],
     )
-    return final_movies, final_ratings
+    return final_movies, watch("rated: distinct pair", final_ratings)

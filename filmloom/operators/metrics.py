@@ -16,6 +16,7 @@ from filmloom.operators.interactions import user_interaction_counts
 from filmloom.operators.relational import HOT_GROUP_ROWS
 from filmloom.operators.scoring import rank_sums
 
+# Labels and bounds of the activity bands.
 BANDS = [("cold (5-9)", 5, 10), ("light (10-19)", 10, 20), ("heavy (20+)", 20, None)]
 
 

@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from filmloom.functions import coercion, literals, text
 from filmloom.operators import cleaning, relational
+from filmloom.plans.catalog import run_cleaning
 from filmloom.plans.recommend import search_title
 from filmloom.schemas import NAMED_ENTITY, PERSON_CAST, PERSON_CREW
 from filmloom.session import shared_folder
 from filmloom.sources import readers
 from filmloom.sources import surrogates as s
 from filmloom.sources.surrogates import with_views
-from filmloom.sources.writers import write_cleaned
+from filmloom.sources.writers import write_cleaned, write_table
 from filmloom.workload.registry import query
 
 # Text cells as a raw file holds them, whole tables long.
@@ -151,6 +152,89 @@ def write_cleaned_tables(spark: SparkSession, d: str) -> DataFrame:
     return counts
 
 
+def _cleaned_files(spark: SparkSession, d: str) -> tuple[str, DataFrame]:
+    """The raw layouts as CSV files, cleaned from there: the folder of the cleaned tables and what each step dropped."""
+    folder = f"{shared_folder(spark)}/raw-{uuid.uuid4().hex}"
+    for name, df in zip(("movies_metadata", "credits", "keywords", "ratings", "links"), _raw_tables(spark, d)):
+        write_table(df, f"{folder}/{name}.csv", "csv")
+    return f"{folder}/clean", run_cleaning(spark, folder, f"{folder}/clean")[1]
+
+
+@query(
+    "clean_files_dropped",
+    with_views(["links"], _RAW_RATINGS_SQL)
+    + """, n AS (SELECT (SELECT count(*) FROM part) AS p, (SELECT count(*) FROM raw_ratings) AS raw,
+    (SELECT count(*) FROM raw_ratings WHERE rating BETWEEN 0.5 AND 5.0) AS valid, (SELECT count(*) FROM ratings_clean) AS clean,
+    (SELECT count(*) FROM ratings_clean JOIN links_s USING (movielens_id) WHERE tmdb_id IS NOT NULL) AS linked,
+    (SELECT count(*) FROM ratings_final WHERE movie_id IN (SELECT p_partkey FROM part)) AS found,
+    (SELECT count(*) FROM (SELECT DISTINCT user_id, movie_id FROM ratings_final)) AS pairs),
+steps AS (
+  SELECT unnest([
+    {'t': 'credits', 's': 'read', 'b': p, 'n': p}, {'t': 'credits', 's': 'whole id', 'b': p, 'n': p}, {'t': 'credits', 's': 'distinct id', 'b': p, 'n': p},
+    {'t': 'movies', 's': 'read', 'b': p, 'n': p}, {'t': 'movies', 's': 'distinct id', 'b': p, 'n': p}, {'t': 'movies', 's': 'whole id', 'b': p, 'n': p},
+    {'t': 'keywords', 's': 'read', 'b': p, 'n': p}, {'t': 'keywords', 's': 'whole id', 'b': p, 'n': p}, {'t': 'keywords', 's': 'distinct id', 'b': p, 'n': p},
+    {'t': 'ratings', 's': 'read', 'b': raw, 'n': raw}, {'t': 'ratings', 's': 'valid', 'b': raw, 'n': valid},
+    {'t': 'ratings', 's': 'distinct pair', 'b': valid, 'n': clean},
+    {'t': 'links', 's': 'read', 'b': p, 'n': p}, {'t': 'links', 's': 'whole id', 'b': p, 'n': p}, {'t': 'links', 's': 'distinct id', 'b': p, 'n': p},
+    {'t': 'catalog', 's': 'read', 'b': p, 'n': p}, {'t': 'catalog', 's': 'distinct id', 'b': p, 'n': p},
+    {'t': 'rated', 's': 'read', 'b': clean, 'n': clean}, {'t': 'rated', 's': 'linked', 'b': clean, 'n': linked},
+    {'t': 'rated', 's': 'in catalog', 'b': linked, 'n': found}, {'t': 'rated', 's': 'distinct pair', 'b': found, 'n': pairs}]) AS x FROM n)
+SELECT x.t AS "table", x.s AS step, x.b AS n_before, x.n AS n_rows, x.b - x.n AS n_dropped FROM steps""",
+)
+def clean_files_dropped(spark: SparkSession, d: str) -> DataFrame:
+    return _cleaned_files(spark, d)[1].drop("place")
+
+
+@query(
+    "clean_files_ratings",
+    with_views(["links"], _RAW_RATINGS_SQL) + "SELECT user_id, movie_id, movielens_id, rating, ts FROM ratings_final",
+)
+def clean_files_ratings(spark: SparkSession, d: str) -> DataFrame:
+    """Final ratings after a way through CSV files."""
+    final = readers.read_table(spark, f"{_cleaned_files(spark, d)[0]}/ratings")
+    return final.select("user_id", "movie_id", "movielens_id", "rating", F.unix_timestamp("timestamp").alias("ts"))
+
+
+@query(
+    "clean_files_movies",
+    """SELECT p_partkey AS movie_id, p_name AS title, false AS adult, CAST(NULL AS DOUBLE) AS budget,
+  p_retailprice AS revenue, CAST(p_size AS DOUBLE) AS runtime, 1950 + p_size AS release_year,
+  p_type || '|' || p_brand AS genres, CAST(NULL AS VARCHAR) AS overview FROM part""",
+)
+def clean_files_movies(spark: SparkSession, d: str) -> DataFrame:
+    """Final films after a way through CSV files."""
+    final = readers.read_table(spark, f"{_cleaned_files(spark, d)[0]}/movies")
+    return final.select(
+        "movie_id", "title", "adult", "budget", "revenue", "runtime", "release_year",
+        F.array_join("genre_names", "|").alias("genres"), "overview",
+    )
+
+
+@query(
+    "clean_files_people",
+    """SELECT 'cast' AS kind, p_partkey AS movie_id, p_size AS person_id, p_brand AS name, p_type AS part FROM part
+UNION ALL SELECT 'cast', p_partkey, p_size + 100, p_name, '' FROM part
+UNION ALL SELECT 'crew', p_partkey, p_size, p_brand, 'Director' FROM part
+UNION ALL SELECT 'keyword', p_partkey, p_size, 'size ' || p_size, NULL FROM part
+UNION ALL SELECT 'keyword', p_partkey, length(p_type) + 1000, 'len ' || length(p_type), NULL FROM part""",
+)
+def clean_files_people(spark: SparkSession, d: str) -> DataFrame:
+    """Cast, crew and keywords after a way through CSV files."""
+    folder = _cleaned_files(spark, d)[0]
+    cast, crew, words = (readers.read_table(spark, f"{folder}/{t}_clean") for t in ("cast", "crew", "keywords"))
+    person = [F.col("person_id").cast("bigint").alias("person_id"), "name"]
+    return (
+        cast.select(F.lit("cast").alias("kind"), "movie_id", *person, F.col("character").alias("part"))
+        .unionByName(crew.select(F.lit("crew").alias("kind"), "movie_id", *person, F.col("job").alias("part")))
+        .unionByName(
+            words.select(
+                F.lit("keyword").alias("kind"), "movie_id", F.col("keyword_id").cast("bigint").alias("person_id"),
+                F.col("keyword").alias("name"), F.lit(None).cast("string").alias("part"),
+            )
+        )
+    )
+
+
 @query(
     "clean_movies",
     """SELECT p_partkey AS id, p_name AS title, false AS adult, CAST(NULL AS DOUBLE) AS budget,
