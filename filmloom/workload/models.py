@@ -113,7 +113,7 @@ def recommend_explicit(spark: SparkSession, d: str) -> DataFrame:
 @query("refit_with_user")
 def refit_with_user(spark: SparkSession, d: str) -> DataFrame:
     ratings = s.ratings(spark, d)
-    return explicit.refit_with_user(ratings, s.movies(spark, d), rank=20, epochs=3)
+    return explicit.refit_with_user(ratings, s.movies(spark, d), rank=100, epochs=30)
 
 
 def _ranking_lists(train: DataFrame, k: int = 20, **fit: object) -> DataFrame:
@@ -214,5 +214,5 @@ def recommend_bpr_content(spark: SparkSession, d: str) -> DataFrame:
 
 @query("train_graph_bpr")
 def train_graph_bpr(spark: SparkSession, d: str) -> DataFrame:
-    model = graph.train_graph(split(spark, d)[0], dim=32, layers=2, lr=0.01, epochs=2, batches=2)
+    model = graph.train_graph(split(spark, d)[0], dim=64, layers=3, lr=0.01, epochs=10, batches=1)
     return _both(model.users, model.items)
