@@ -173,7 +173,7 @@ def ranking_step(spark: SparkSession, d: str) -> DataFrame:
 
 @query("train_warp")
 def train_warp(spark: SparkSession, d: str) -> DataFrame:
-    return _ranking_lists(split(spark, d)[0], loss="warp", epochs=10)
+    return _ranking_lists(split(spark, d)[0], loss="warp", epochs=10, batches=2)
 
 
 @query("train_warp_features")
@@ -181,14 +181,14 @@ def train_warp_features(spark: SparkSession, d: str) -> DataFrame:
     train, _ = split(spark, d)
     genres = tfidf(s.movies(spark, d), "movie_id", F.col("genre_names"), max_features=200)
     features = identity_plus_features(train.select("movie_id").distinct(), genres)
-    return _ranking_lists(train, loss="warp", features=features, epochs=10)
+    return _ranking_lists(train, loss="warp", features=features, epochs=10, batches=2)
 
 
 @query("train_weighted_interactions")
 def train_weighted_interactions(spark: SparkSession, d: str) -> DataFrame:
     """Ratings as weights, seen films kept in the lists."""
     rated = s.ratings(spark, d).select("user_id", "movie_id", "rating")
-    model = ranking_loss.train_ranking(rated, loss="warp", dim=32, epochs=5, weight="rating")
+    model = ranking_loss.train_ranking(rated, loss="warp", dim=32, epochs=5, batches=2, weight="rating")
     return recommend_factors(model.users, model.items, 12)
 
 
@@ -197,7 +197,7 @@ def _bpr_model(spark: SparkSession, d: str):
     cells = dense_features(spark, d).select("movie_id", F.posexplode("vec").alias("pos", "weight"))
     features = cells.select("movie_id", F.concat(F.lit("f"), F.col("pos")).alias("term"), "weight")
     own = features.select("movie_id").distinct().withColumn("user_id", F.col("movie_id"))
-    return ranking_loss.train_ranking(own, loss="bpr", features=features, epochs=15), features
+    return ranking_loss.train_ranking(own, loss="bpr", features=features, epochs=15, batches=2), features
 
 
 @query("train_bpr_content")
