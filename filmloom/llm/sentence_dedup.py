@@ -1,9 +1,16 @@
 """Removal of repeated runs of sentences.
 
-From every sentence on, the shortest run of at least ``SENTENCES`` sentences with at least ``RUN_WORDS`` words is hashed.
-Runs meet all over the corpus by their hash; the first place is the smallest by id, text and position. Sentences that any
-later run covers are removed. First places come from a partial minimum, so a run that a third of all documents share sends
-one row per task; only hashes seen at least twice go on to the join with the places.
+A run is long enough with ``SENTENCES`` sentences and ``RUN_WORDS`` words, or as one sentence of ``LONE_WORDS`` words. Runs
+meet all over the corpus by their hash; the first place is the smallest by id, text and position. Sentences that any later
+run covers are removed.
+
+Hashed are the shortest run from every sentence on and the shortest run up to every sentence. That removes exactly what all
+runs together would: of a longer run that repeats, each sentence from which a long enough run still fits is covered by the
+shortest run from it, and the sentences behind by the shortest run up to the end. These parts repeat wherever the whole does,
+and where the whole has an earlier place, so have they; and each of them is a run itself, so nothing else goes.
+
+First places come from a partial minimum, so a run that a third of all documents share sends one row per task; only hashes
+seen at least twice go on to the join with the places.
 """
 
 from __future__ import annotations
@@ -20,7 +27,7 @@ from pyspark.sql import types as T
 
 from filmloom.llm.common import Scratch, slices
 
-SENTENCES, RUN_WORDS = 2, 20
+SENTENCES, RUN_WORDS, LONE_WORDS = 2, 20, 50
 #: Ends of sentences: white space after a closing mark, or a line break.
 BREAK = r"(?<=[.!?])\s+|\s*\n\s*"
 NO_ID = 2**63 - 1
@@ -34,15 +41,19 @@ def cut(text: str, pattern: re.Pattern) -> tuple[list[str], list[int]]:
     return [text[a:b].strip() for a, b in zip(starts, starts[1:])], starts
 
 
-def runs(sentences: list[str], least: int, words: int) -> list[tuple[int, int]]:
-    """First sentence and the one after the last, of the shortest long enough run from each sentence on."""
-    total = np.cumsum([0, *(len(s.split()) for s in sentences)])
-    stop = np.searchsorted(total, total[:-1] + words)
-    stop = np.maximum(stop, np.arange(len(sentences)) + least)
-    return [(i, int(j)) for i, j in enumerate(stop) if j <= len(sentences)]
+def runs(sentences: list[str], least: int, words: int, lone: int) -> list[tuple[int, int]]:
+    """First sentence and the one after the last, of the shortest long enough run from and up to each sentence."""
+    sizes = np.array([len(s.split()) for s in sentences], int)
+    total, at = np.cumsum([0, *sizes]), np.arange(len(sentences))
+    stop = np.maximum(np.searchsorted(total, total[:-1] + words), at + least)
+    start = np.minimum(np.searchsorted(total, total[1:] - words, "right") - 1, at + 1 - least)
+    alone = sizes >= lone
+    stop, start = np.where(alone, at + 1, stop), np.where(alone, at, start)
+    ahead = zip(at.tolist(), stop.tolist())
+    return sorted({(i, j) for i, j in ahead if j <= len(sentences)} | {(i, j + 1) for i, j in zip(start.tolist(), at.tolist()) if i >= 0})
 
 
-def places(rows: DataFrame, least: int, words: int) -> DataFrame:
+def places(rows: DataFrame, least: int, words: int, lone: int) -> DataFrame:
     schema = "id long, text_hash long, first int, stop int, run binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -52,7 +63,7 @@ def places(rows: DataFrame, least: int, words: int) -> DataFrame:
             for i, h, text in zip(*(part.column(c).to_pylist() for c in ("id", "text_hash", "_text"))):
                 sentences, _ = cut(text or "", pattern)
                 out += [
-                    (i, h, a, b, xxhash.xxh3_128_digest("\n".join(sentences[a:b]).encode())) for a, b in runs(sentences, least, words)
+                    (i, h, a, b, xxhash.xxh3_128_digest("\n".join(sentences[a:b]).encode())) for a, b in runs(sentences, least, words, lone)
                 ]
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
             columns = [pa.array(c, k) for c, k in zip(zip(*out) if out else [()] * 5, kinds)]
@@ -61,7 +72,9 @@ def places(rows: DataFrame, least: int, words: int) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = SENTENCES, words: int = RUN_WORDS) -> DataFrame:
+def without_repeats(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = SENTENCES, words: int = RUN_WORDS, lone: int = LONE_WORDS
+) -> DataFrame:
     """Adds ``n_sentences, n_removed, n_spans`` and replaces the text by what is left of it.
 
     A null text stays null and counts as empty. Rows are told apart by id and text: rows that repeat both are one document
@@ -69,7 +82,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     table. Columns called like an output are replaced.
     """
     identity = {"id": F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)), "text_hash": F.xxhash64(text)}
-    spots = places(docs.select(F.col(text).alias("_text"), *[c.alias(n) for n, c in identity.items()]), least, words)
+    spots = places(docs.select(F.col(text).alias("_text"), *[c.alias(n) for n, c in identity.items()]), least, words, lone)
     place = F.struct("id", "text_hash", "first")
     seen = spots.groupBy("run").agg(F.min(place).alias("origin"), F.max(place).alias("latest")).where("origin <> latest")
     # A table of its own: the join can then split hot runs.

@@ -67,13 +67,24 @@ def plain_sentences(rows):
     for key in rows:
         sentences, _ = sentence_dedup.cut(key[1] or "", pattern)
         for a in range(len(sentences)):
-            for b in range(a + 2, len(sentences) + 1):
-                if sum(len(s.split()) for s in sentences[a:b]) >= 20:
+            for b in range(a + 1, len(sentences) + 1):
+                if sum(len(s.split()) for s in sentences[a:b]) >= (20 if b - a > 1 else 50):
                     seen["\n".join(sentences[a:b])].append((key, a, b))
-                    break
     return seen
 
 
+def test_ends_of_repeated_runs_and_long_sentences(spark):
+    def words(name, n):
+        return " ".join(f"{name}{i}" for i in range(n)) + "."
+
+    shared, lone = " ".join([words("a", 25), words("b", 10), words("c", 9)]), words("d", 60)
+    texts = [f"{words('e', 9)} {shared} {words('f', 9)}", f"{words('g', 9)} {shared}", f"{lone} {words('h', 9)}", f"{words('i', 9)} {lone}", words("d", 49)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in sentence_dedup.without_repeats(docs).collect()}
+    assert [rows[i]["n_removed"] for i in range(5)] == [0, 3, 0, 1, 0]
+    assert rows[1]["text"].strip() == words("g", 9) and rows[3]["text"].strip() == words("i", 9)
+
+
 def test_sentence_dedup(odd_docs, no_docs):
     rows = sentence_dedup.without_repeats(odd_docs.withColumnRenamed("text", "old").selectExpr("*", "old as text")).collect()
     assert len(rows) == odd_docs.count()
