@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from filmloom.llm.common import Scratch, slices, worker_cache
+from filmloom.llm.common import Scratch, numbered, slices, worker_cache
 
 LENGTH = 200
 #: Length of the strings whose least hash is the anchor.
@@ -310,12 +310,12 @@ def _key_rows(rows: DataFrame, length: int) -> DataFrame:
 def without_repeats(docs: DataFrame, scratch: Scratch, text: str = "text", length: int = LENGTH) -> DataFrame:
     """Adds ``n_bytes, n_removed, n_spans, kept`` (the bytes left, null where all stay) to every row.
 
-    Rows are told apart by their place in the input, so repeated rows are copies of each other and null keys need no rule;
-    the input must read its files alike each time, as a Parquet table does. A null text counts as empty. Texts shorter
+    Rows are told apart by their place in the input's files, which no read setting and no loss of executors moves, so
+    repeated rows are copies of each other and null keys need no rule. A null text counts as empty. Texts shorter
     than ``length`` keep everything. An empty table gives an empty table. Columns called like an output are replaced.
     """
-    place = F.monotonically_increasing_id()
-    rows = docs.select(place.alias("_row"), docs[text].alias("_text"))
+    placed, _ = numbered(docs, scratch, "_row")
+    rows = placed.select("_row", F.col(text).alias("_text"))
     each = _key_rows(rows, length)
     shared = each.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("key")
     shared = scratch.save(shared, "shared")  # a table of its own: the join can then split hot keys
@@ -392,6 +392,7 @@ def without_repeats(docs: DataFrame, scratch: Scratch, text: str = "text", lengt
 
     changed = texts.select("row", "_text").join(judged, "row").select("row", "_text", "found").mapInArrow(remove, schema)
     added = ("n_bytes", "n_removed", "n_spans", "kept")
-    every = docs.select(*[docs[c] for c in docs.columns if c not in added], place.alias("_row"), F.octet_length(F.coalesce(docs[text], F.lit(""))).cast("long").alias("n_bytes"))
+    size = F.octet_length(F.coalesce(F.col(text), F.lit(""))).cast("long").alias("n_bytes")
+    every = placed.select(*[c for c in placed.columns if c not in added], size)
     out = every.join(changed.withColumnRenamed("row", "_row"), "_row", "left").drop("_row")
     return out.withColumns({c: F.coalesce(c, F.lit(0).cast("long")) for c in ("n_removed", "n_spans")})

@@ -3,7 +3,7 @@
 A sequence is one document's token ids and the end token. The permutation is a Feistel network over the next even number
 of bits; values beyond the table walk on through it until they fall inside (cycle walking). A shard holds the sequences of
 a range of slots in order, cut into records of one size, so record i stands at byte i * stride and reading can resume at
-any record. The texts move once; they are encoded where their shard is written.
+any record. The texts move once, each task gets a range of shards and encodes their texts where it writes them.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filmloom.llm.common import Scratch, slices, worker_cache
+from filmloom.llm.common import Scratch, numbered, opened, qualified, slices, worker_cache
 
 END = 50256
 RECORD_TOKENS = 1_024
@@ -44,22 +44,6 @@ def feistel(values: np.ndarray, size: int, key: str) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def numbered(docs: DataFrame) -> tuple[DataFrame, int]:
-    """Adds ``_index``, dense from 0: the row's place in its input partition plus the rows of the partitions before.
-
-    Both reads of the input see the same splits, lost executors or not, as a split is a function of the files.
-    """
-    place = F.monotonically_increasing_id()
-    part, row = F.shiftright(place, 33), place.bitwiseAND((1 << 33) - 1)
-    counts = docs.select(part.alias("part")).groupBy("part").agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect()
-    starts = np.concatenate([[0], np.cumsum([r["n"] for r in counts])]).astype(int).tolist()
-    offsets = docs.sparkSession.createDataFrame(
-        [(r["part"], s) for r, s in zip(counts, starts)], "_part long, _start long"
-    )
-    found = docs.withColumns({"_part": part, "_row": row}).join(F.broadcast(offsets), "_part")  # one row per input split
-    return found.withColumn("_index", F.col("_start") + F.col("_row")).drop("_part", "_start", "_row"), starts[-1]
-
-
 def encoder(path: str):
     import public_tokenizers
     import tiktoken
@@ -72,35 +56,43 @@ def encoder(path: str):
 PLACES = "doc_id long, slot long, shard long, first_token long, n_tokens long, file string, record_bytes long"
 
 
-def write_shards(docs: DataFrame, vocabulary: str, folder: str, order_key: str = "epoch-0", key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Writes the shard files below ``folder`` and returns one row per document with its place.
+def write_shards(
+    docs: DataFrame, vocabulary: str, scratch: Scratch, order_key: str = "epoch-0", key: str = "doc_id", text: str = "text", sequences: int | None = None
+) -> DataFrame:
+    """Writes shard files of so many sequences (``SHARD_SEQUENCES``) below the scratch folder; one row per document, its place.
 
     Null and empty texts are sequences of the end token alone; a null id is kept as null; repeated rows are sequences of
-    their own; an empty table writes nothing. A shard is written under another name and renamed, so a file with its final
-    name is whole, and a task that runs again writes the same bytes.
+    their own; an empty table writes nothing. Token ids take 16 bits, a vocabulary with larger ones is an error. A shard is
+    written under another name and renamed, so a file with its final name is whole, and a task that runs again writes the
+    same bytes, as rows are numbered by their place in their file. The folder's file system must be one that both Spark
+    and pyarrow know (local or mounted, HDFS, S3, GCS); another one is an error before any work.
     """
-    rows, size = numbered(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("_text")))
+    sequences = sequences or SHARD_SEQUENCES
+    folder = qualified(docs.sparkSession, f"{scratch.folder}/shards")
+    opened(folder)
+    rows, size = numbered(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("_text")), scratch, "_index")
 
     @F.pandas_udf("long")
     def slot(index: pd.Series) -> pd.Series:
         return pd.Series(feistel(index.to_numpy(), size, order_key))
 
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shards = -(-size // sequences)
+    # The permutation spreads all documents evenly over the slots, so equal ranges need no sample.
+    share = F.floor(F.col("shard") * width / max(shards, 1)).cast("int")
     placed = (
         rows.withColumn("slot", slot("_index"))
-        .withColumn("shard", F.floor(F.col("slot") / SHARD_SEQUENCES))
+        .withColumn("shard", F.floor(F.col("slot") / sequences))
         .select("doc_id", "_text", "slot", "shard")
-        .repartition(width, "shard")
+        .repartitionById(width, share)
         .sortWithinPartitions("shard", "slot")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import uuid
 
-        from pyarrow import fs
-
         encode = worker_cache(f"order_encoder_{vocabulary}", lambda: encoder(vocabulary)).encode_ordinary
-        files, root = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        files, root = opened(folder)
         files.create_dir(root, recursive=True)
         shard, out, temporary, at = None, None, "", 0
 
@@ -134,4 +126,31 @@ def write_shards(docs: DataFrame, vocabulary: str, folder: str, order_key: str =
 def materialise(docs: DataFrame, vocabulary: str, **options) -> DataFrame:
     """Writes the shards once, and keeps the places as a table: reading them again does not write again."""
     scratch = Scratch(docs.sparkSession)
-    return scratch.save(write_shards(docs, vocabulary, f"{scratch.folder}/shards", **options), "places")
+    places = scratch.save(write_shards(docs, vocabulary, scratch, **options), "places")
+    scratch.drop("rows", "shards/.shard-*")  # the numbered copy, and what tasks that were lost left behind
+    return places
+
+
+def read_records(places: DataFrame, shard: int = 0, record: int = 0) -> DataFrame:
+    """Records ``shard, record, tokens`` (16-bit little endian) from that record on; sorted by both numbers they are the stream.
+
+    Every task seeks to its first record and reads on from there, so resuming costs nothing for what was read before. A
+    place behind the last record gives an empty table.
+    """
+    files = places.where(F.col("shard") >= shard).groupBy("shard", "file").agg(F.max("record_bytes").alias("stride"))
+    begin = F.when(F.col("shard") == shard, F.lit(record)).otherwise(0).cast("long").alias("begin")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for own, address, stride, first in zip(*(c.to_pylist() for c in batch.columns)):
+                store, path = opened(address)
+                with store.open_input_file(path) as data:
+                    for i in range(first, data.size() // stride, 1_024):
+                        data.seek(i * stride)
+                        block = data.read(1_024 * stride)
+                        cut = [block[j : j + stride] for j in range(0, len(block), stride)]
+                        numbers = pa.array(range(i, i + len(cut)), pa.int64())
+                        columns = [pa.array([own] * len(cut), pa.int64()), numbers, pa.array(cut, pa.binary())]
+                        yield pa.RecordBatch.from_arrays(columns, names=["shard", "record", "tokens"])
+
+    return files.select("shard", "file", "stride", begin).mapInArrow(run, "shard long, record long, tokens binary")

@@ -10,7 +10,7 @@ import pytest
 import tiktoken
 
 from filmloom.llm import license_scan, sentence_dedup, suffix_dedup, topk, training_order
-from filmloom.llm.common import Scratch
+from filmloom.llm.common import Scratch, numbered, opened, qualified
 from filmloom.llm.queries import vocabulary
 
 
@@ -107,6 +107,38 @@ def test_sentence_dedup(odd_docs, no_docs):
     assert sentence_dedup.without_repeats(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("width", ["1g", "2k"])
+def test_numbers_follow_the_files(spark, tmp_path, width):
+    docs = spark.range(0, 3000, 1, 7).selectExpr("id", "repeat('x', 40) as text", "named_struct('file_path', 'own') as _metadata")
+    docs = saved(docs, tmp_path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", width)
+        rows, size = numbered(docs.select("id", "_metadata"), Scratch(spark), "place")
+        got = {r["id"]: r["place"] for r in rows.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert size == 3000 and sorted(got.values()) == list(range(3000))
+    files = docs.select("id", docs.metadataColumn("_metadata").getField("file_path").alias("f")).orderBy("f", "id").collect()
+    assert [r["id"] for r in files] == sorted(got, key=got.get)
+
+
+def test_numbers_of_other_inputs(spark, tmp_path):
+    docs = saved(spark.range(100), tmp_path)
+    path = str(tmp_path / "docs")
+    for df, n in ((spark.range(50).where("id % 3 > 0"), 33), (docs.where("id > 9"), 90), (spark.read.parquet(path, path), 200), (docs.limit(0), 0)):
+        rows, size = numbered(df, Scratch(spark), "place")
+        assert size == n and sorted(r["place"] for r in rows.collect()) == list(range(n)) and rows.count() == n
+
+
+def test_addresses_of_the_shared_folder(spark, tmp_path):
+    for form in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}"):
+        files, root = opened(qualified(spark, form))
+        assert root == str(tmp_path) and files.get_file_info(root).is_file is False
+    with pytest.raises(Exception):
+        opened("unheard://x/y")
+
+
 def test_feistel_is_a_keyed_permutation():
     for size in (1, 2, 3, 5, 1000, 4097):
         one, other = (training_order.feistel(np.arange(size), size, k) for k in ("a", "b"))
@@ -137,6 +169,18 @@ def test_training_order(spark, odd_docs, no_docs, tmp_path, monkeypatch):
         assert all(a[1] + a[2] == b[1] for a, b in zip(spans, spans[1:])) and spans[0][1] == 0
     again = training_order.materialise(docs, vocabulary()).collect()
     assert {(p["doc_id"], p["slot"]) for p in again} == {(p["doc_id"], p["slot"]) for p in places}
+    stream = {}
+    table = spark.createDataFrame(places)
+    for r in training_order.read_records(table).collect():
+        stream[r["shard"], r["record"]] = bytes(r["tokens"])
+    for shard, ids in streams.items():
+        n = ids.nbytes // (2 * training_order.RECORD_TOKENS)
+        assert b"".join(stream[shard, i] for i in range(n)) == ids.tobytes() and (shard, n) not in stream
+    assert len(stream) > len(streams) + 5
+    at = sorted(stream)[len(stream) // 2]
+    later = {(r["shard"], r["record"]): bytes(r["tokens"]) for r in training_order.read_records(table, *at).collect()}
+    assert later == {k: v for k, v in stream.items() if k >= at}
+    assert training_order.read_records(table, max(streams) + 1).count() == 0
     assert training_order.materialise(saved(no_docs, tmp_path, "none"), vocabulary()).count() == 0
 
 
