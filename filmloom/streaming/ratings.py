@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from filmloom.functions.coercion import coerce_id, coerce_numeric, epoch_to_timestamp
 from filmloom.operators.cleaning import valid_rating
 from filmloom.operators.relational import dedup_keep_first
 from filmloom.plans.lifecycle import stage_of
@@ -44,6 +45,37 @@ def stream_clean_ratings(stream: DataFrame, watermark: str | None = None) -> Dat
     return valid.dropDuplicates(keys)
 
 
+def coerced_ratings(raw: DataFrame) -> DataFrame:
+    """Typed valid ratings from text columns ``user_id, movie_id, rating, timestamp`` (epoch seconds), batch or stream.
+
+    Rows whose ids, rating or time don't parse, or whose rating is out of range, go.
+    """
+    typed = raw.select(
+        coerce_id(F.col("user_id")).alias("user_id"),
+        coerce_id(F.col("movie_id")).alias("movie_id"),
+        coerce_numeric(F.col("rating")).alias("rating"),
+        epoch_to_timestamp(F.col("timestamp")).alias("ts"),
+    )
+    return typed.dropna().where(valid_rating(F.col("rating")))
+
+
+def stream_first_ratings(raw: DataFrame, watermark: str = "1 day", window: str = "1 day") -> DataFrame:
+    """First rating by event time (ties: the lowest) per user, film and time window; write it in update mode.
+
+    State holds the windows the watermark hasn't passed, so it follows the rate of the stream and not its age. A row that
+    comes later than the watermark allows is dropped. An earlier rating that comes in time sends its window again, and a
+    film rated in several windows has a row in each: ``first_ratings`` reads the one that counts.
+    """
+    rows = coerced_ratings(raw).withWatermark("ts", watermark)
+    first = rows.groupBy(F.window("ts", window), "user_id", "movie_id").agg(F.min(F.struct("ts", "rating")).alias("first"))
+    return first.select("user_id", "movie_id", "first.rating", "first.ts")
+
+
+def first_ratings(written: DataFrame) -> DataFrame:
+    """The first rating per (user, film) of what ``stream_first_ratings`` has written so far."""
+    return dedup_keep_first(written.select("user_id", "movie_id", "rating", "ts"), ["user_id", "movie_id"], ["ts", "rating"])
+
+
 class _StageChanges(StatefulProcessor):
     """Emits a row whenever a user's count moves them to another stage."""
 

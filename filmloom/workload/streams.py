@@ -65,6 +65,24 @@ def stream_clean_ratings(spark: SparkSession, d: str) -> DataFrame:
     return _run(streaming.stream_clean_ratings(_stream(spark, d)), "append", spark).select("user_id", "movie_id")
 
 
+@query(
+    "stream_first_ratings",
+    """SELECT user_id, movie_id, rating, rated_at FROM (
+  SELECT user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS movie_id, value AS rating,
+    CAST(floor(epoch(CAST(ts AS TIMESTAMP))) AS BIGINT) AS rated_at,
+    row_number() OVER (PARTITION BY user_id, json_extract_string(props, '$.k')
+                       ORDER BY floor(epoch(CAST(ts AS TIMESTAMP))), value) AS rn
+  FROM events WHERE value BETWEEN 0.5 AND 5.0 AND user_id IS NOT NULL AND json_extract_string(props, '$.k') IS NOT NULL AND ts IS NOT NULL)
+WHERE rn = 1""",
+)
+def stream_first_ratings(spark: SparkSession, d: str) -> DataFrame:
+    text = {c: F.col(c).cast("string") for c in ("user_id", "movie_id", "rating")}
+    raw = _stream(spark, d).withColumns(text).withColumn("timestamp", F.unix_timestamp("ts").cast("string"))
+    written = _run(streaming.stream_first_ratings(raw.drop("ts")), "update", spark)
+    first = streaming.first_ratings(written)
+    return first.select("user_id", "movie_id", "rating", F.unix_timestamp("ts").alias("rated_at"))
+
+
 @query(
     "stream_upsert_ratings",
     """SELECT user_id, movie_id, rating FROM (

@@ -52,6 +52,35 @@ def test_clean_rows_once(spark, batches, watermark):
     assert got.count() == want.count() and got.exceptAll(want).isEmpty()
 
 
+def test_first_ratings_by_event_time(spark, tmp_path):
+    day = 86_400
+    steps = [
+        [("1", "7", "4.0", str(10 * day)), ("1.0", "8", " 3.5 ", str(10 * day)), ("x", "8", "3", "5"), ("2", "7", "9", "5"), ("2", "7", "3", "soon")],
+        [("1", "7", "2.0", str(10 * day - 60)), ("1", "8", "1.0", str(10 * day + 5)), ("3", "9", "5", str(20 * day))],  # earlier, in time
+        [("1", "9", "1.5", str(20 * day + 1)), ("1", "7", "0.5", str(20 * day))],
+        [("1", "8", "5.0", str(9 * day)), ("3", "9", "4", str(19 * day + day // 2))],  # the first comes too late, the second in time
+    ]
+    names = "user_id string, movie_id string, rating string, timestamp string"
+    folder, runs = str(tmp_path), []
+    for rows in steps:
+        spark.createDataFrame(rows, names).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(names).parquet(f"{folder}/in")
+
+        def save(batch, batch_id):
+            batch.write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
+
+        query = streaming.stream_first_ratings(stream).writeStream.foreachBatch(save).outputMode("update")
+        run = query.option("checkpointLocation", f"{folder}/cp").trigger(availableNow=True).start()
+        run.awaitTermination()
+        runs.append(run.lastProgress)
+    got = streaming.first_ratings(spark.read.parquet(f"{folder}/out")).selectExpr("user_id", "movie_id", "rating", "unix_timestamp(ts) as at")
+    assert {tuple(r) for r in got.collect()} == {
+        (1, 7, 2.0, 10 * day - 60), (1, 8, 3.5, 10 * day), (1, 9, 1.5, 20 * day + 1), (3, 9, 4.0, 19 * day + day // 2)
+    }
+    # Windows of day 10 have left the state.
+    assert runs[-1]["stateOperators"][0]["numRowsTotal"] <= 4
+
+
 def test_upserts_and_compaction(spark, batches):
     everything, stream, folder = batches
     table = f"{folder}/table"
