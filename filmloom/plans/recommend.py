@@ -122,7 +122,8 @@ def match_titles(wanted: DataFrame, movies: DataFrame, query: str = "query") ->
     contains the part before ``(``, else none: (query, movie_id, title, match).
 
     Containment is looked up through three-character pieces: a title holding the
-    text holds its rarest piece, and only such titles are compared.
+    text holds its rarest piece, and only such titles are compared. Films of one title count once. The pieces of all titles
+    are many times the catalog, which no size estimate knows, so that side is never broadcast.
     """
     asked = wanted.select(query).distinct().withColumn("_key", F.lower(F.trim(F.col(query))))
     catalog = movies.select("movie_id", "title", F.lower("title").alias("_low"))
@@ -145,9 +146,9 @@ def match_titles(wanted: DataFrame, movies: DataFrame, query: str = "query") ->
             .otherwise(_grams(F.col("_part"), 1))
         ).alias("_gram"),
     )
-    catalog_grams = catalog.select(
-        "movie_id",
-        "title",
+    titles = catalog.groupBy("_low").agg(F.min(F.struct("movie_id", "title")).alias("_film"))
+    catalog_grams = titles.select(
+        "_film",
         "_low",
         F.explode(F.array_distinct(F.concat(*[_grams(F.col("_low"), n) for n in (1, 2, 3)]))).alias("_gram"),
     )
@@ -156,10 +157,10 @@ def match_titles(wanted: DataFrame, movies: DataFrame, query: str = "query") ->
         F.min_by("_gram", F.struct(F.coalesce("_df", F.lit(0)), "_gram")).alias("_gram")
     )
     contained = (
-        rarest.join(catalog_grams, "_gram")
+        rarest.join(catalog_grams.hint("shuffle_merge"), "_gram")
         .where(F.contains("_low", "_part"))
         .groupBy(query)
-        .agg(F.min(F.struct("movie_id", "title")).alias("_sub"))
+        .agg(F.min("_film").alias("_sub"))
     )
     merged = first.join(contained, query, "left").join(
         open_queries.where("_part = ''").select(query, lowest.alias("_any")), query, "left"

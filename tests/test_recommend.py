@@ -44,6 +44,17 @@ def test_title_search_and_matching(spark, movies):
     assert index["toy story"] == 2
 
 
+def test_title_pieces_are_never_broadcast(spark, movies):
+    asked = spark.createDataFrame([("Days (2009)",), ("e",)], "query string")
+    plan = recommend.match_titles(asked, movies)._jdf.queryExecution().executedPlan().toString().split("\n")
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in plan]
+    for at, line in enumerate(plan):
+        if "BroadcastExchange" in line:
+            below = next((i for i in range(at + 1, len(plan)) if depth[i] <= depth[at]), len(plan))
+            rows = [x for x in plan[at + 1 : below] if " Exchange " in x or "Generate" in x]
+            assert not rows or "Generate" not in rows[0]
+
+
 def test_genre_overlap(spark, movies):
     seeds = spark.createDataFrame([(1,), (4,), (99,)], "seed_id bigint")
     assert lists(recommend.recommend_genre_overlap(movies, seeds, 3), "seed_id") == {1: [5, 3], 4: [1, 2, 3], 99: [1, 2, 3]}
