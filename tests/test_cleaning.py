@@ -168,3 +168,19 @@ def test_lists_with_quotes_survive_csv(spark, tmp_path):
     import ast
 
     assert ast.literal_eval(row["names"]) == names
+
+
+def test_raw_films_are_dealt_out(spark, tmp_path):
+    """A table in one small file still makes raw files of bounded size, with all films."""
+    from filmloom.workload.rows import _raw_tables
+
+    part = spark.range(25_000).selectExpr(
+        "id AS p_partkey", "'a' AS p_name", "'b' AS p_brand", "'c' AS p_type", "1 AS p_size", "1.0D AS p_retailprice"
+    )
+    part.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    orders = spark.createDataFrame([(1, 2, "2000-01-01")], "o_orderkey bigint, o_custkey bigint, o_orderdate string")
+    orders.selectExpr("o_orderkey", "o_custkey", "CAST(o_orderdate AS date) AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    lines = spark.createDataFrame([(1, 3, 1, 5.0)], "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    for films in _raw_tables(spark, str(tmp_path))[:3]:
+        assert films.rdd.getNumPartitions() == 3 and films.select("id").distinct().count() == 25_000
