@@ -252,15 +252,24 @@ def genre_terms(items: DataFrame, genres: str = "genre_names") -> DataFrame:
 def recommend_genre_overlap(items: DataFrame, seeds: DataFrame, k: int = 12) -> DataFrame:
     """Films sharing most genres with each seed: (seed_id, movie_id, score, rank).
 
-    Unknown seeds get the first films; seeds without genres the first other ones.
+    Unknown seeds get the first films; seeds without genres the first other ones. Lists are made for each distinct set of
+    genres, of which a catalog has far fewer than films.
     """
     tagged = genre_terms(items).withColumn("weight", F.lit(1.0))
     terms = _term_index(tagged)
-    rows = sparse_rows(tagged, "movie_id", terms)
+    rows = sparse_rows(tagged.distinct(), "movie_id", terms).withColumn("_set", F.concat_ws(",", "idx"))
     asked = seeds.select(F.col("seed_id").cast("bigint")).distinct()
-    queries = asked.join(rows.withColumnRenamed("movie_id", "seed_id"), "seed_id")
-    itself = asked.withColumn("movie_id", F.col("seed_id"))
-    best = score_all_pairs(queries, rows, k, query="seed_id", seen=itself).where("score > 0")
+    # Scores depend on the sets alone. Only the first k + 1 films of a set can be among the first k + 1 of any list, and
+    # lists of k + 1 leave k without the seed.
+    rows = cut_lineage(rows.join(index_ids(rows, "_set", "set_id"), "_set").drop("_set"))
+    heads = top_k_per_group(rows, "set_id", [F.asc("movie_id")], k + 1)
+    sets = heads.where("rank = 1").select("set_id", "idx", "val")
+    best = score_all_pairs(sets, heads.select("movie_id", "idx", "val"), k + 1, query="set_id").where("score > 0")
+    listed = best.groupBy("set_id").agg(F.sort_array(F.collect_list(F.struct("rank", "movie_id", "score"))).alias("_films"))
+    others = F.filter("_films", lambda film: ~film["movie_id"].eqNullSafe(F.col("seed_id")))
+    own = asked.join(rows.select(F.col("movie_id").alias("seed_id"), "set_id"), "seed_id").join(listed, "set_id")
+    own = own.select("seed_id", F.posexplode(F.slice(others, 1, k)).alias("_at", "_film"))
+    best = own.select("seed_id", "_film.movie_id", "_film.score", (F.col("_at") + 1).cast("int").alias("rank"))
     bare = asked.join(rows.select(F.col("movie_id").alias("seed_id")), "seed_id", "left_anti")
     head = _head_ids(items, k + 1, [F.asc("movie_id")])
     # An unknown seed is in no list, so leaving it out changes nothing.

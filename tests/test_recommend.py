@@ -60,6 +60,21 @@ def test_genre_overlap(spark, movies):
     assert lists(recommend.recommend_genre_overlap(movies, seeds, 3), "seed_id") == {1: [5, 3], 4: [1, 2, 3], 99: [1, 2, 3]}
 
 
+def test_genre_lists_are_made_per_set(spark, monkeypatch):
+    """Sixty films of three sets: three queries, at most k + 1 films of each, and the lists of every pair."""
+    tags = {i: ("A|B", "B|A|B", "C")[i % 3] for i in range(57)} | {57: "A", 58: "", 59: "A|C"}
+    films = spark.createDataFrame(sorted(tags.items()), "movie_id bigint, genre_names string")
+    seeds = films.select(F.col("movie_id").alias("seed_id"))
+    asked, score = [], recommend.score_all_pairs
+    monkeypatch.setattr(recommend, "score_all_pairs", lambda q, i, *a, **b: asked.append((q.count(), i.count())) or score(q, i, *a, **b))
+    got = lists(recommend.recommend_genre_overlap(films, seeds, 4), "seed_id")
+    assert asked == [(4, 5 + 5 + 1 + 1)]
+    sets = {i: set(filter(None, t.split("|"))) for i, t in tags.items()}
+    for seed, own in sets.items():
+        near = sorted((-len(own & other), i) for i, other in sets.items() if i != seed and (own & other or not own))
+        assert got[seed] == [i for _, i in near[:4]]
+
+
 def test_cold_start(spark, movies, vectors):
     favorites = spark.createDataFrame([(1, 1), (2, 77)], "user_id bigint, movie_id bigint")
     users = spark.createDataFrame([(1,), (2,), (3,)], "user_id bigint")
