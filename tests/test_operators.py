@@ -157,6 +157,28 @@ def test_scoring_by_brute_force(spark, options):
     assert lists == _brute(queries, items, seen, 5)
 
 
+def test_scoring_broadcasts_nothing(spark):
+    rows = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(9)], "user_id bigint, vec array<double>")
+    got = score_all_pairs(rows, rows.withColumnRenamed("user_id", "movie_id"), 3)
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_best_cells_by_slices():
+    """Ties, masked cells and scores that rounding makes equal, in slices of any width."""
+    from filmloom.operators.scoring import _Best
+
+    for seed in range(12):
+        rng = np.random.default_rng(seed)
+        scores = rng.integers(-2, 3, (20, 300)) + (seed % 3 == 0) * rng.integers(0, 3, (20, 300)) * 4e-7
+        scores[rng.random(scores.shape) < 0.3] = -np.inf
+        best = _Best(20, 7, 6)
+        for start in range(0, 300, 17 + seed * 20):
+            best.add(scores[:, start : start + 17 + seed * 20].copy(), start)
+        for row, own in enumerate(np.round(scores, 6)):
+            wanted = [i for i in np.lexsort((np.arange(300), -own)) if own[i] > -np.inf][:7]
+            assert best.place[best.owner == row].tolist() == wanted
+
+
 def test_sparse_scoring_equals_dense(spark):
     rng = np.random.default_rng(2)
     dense = {i: np.where(rng.random(30) < 0.2, rng.random(30), 0.0) for i in range(50)}
