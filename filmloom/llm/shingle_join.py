@@ -60,6 +60,8 @@ BLOCK = 1000
 #: Most rows of four numbers that are sent to every executor to pick texts beside the scan (about 40 MB as a hash table);
 #: with more, whole texts are shuffled to them instead. The result is the same.
 PICKED = 500_000
+#: Smallest signatures of a class that travel with it, to tell which pairs have met in an earlier group.
+EARLY = 8
 #: Partners proposed per class and group in each round; the last round proposes all.
 ROUNDS = (1, 4, None)
 WORD_BYTES = rb"[^\x20\x09-\x0D]+"
@@ -219,10 +221,12 @@ def folded(sketches: list[bytes]) -> np.ndarray:
     return np.stack(rows)
 
 
-def _group_pairs(members: list[tuple], most: int | None, rule: Rule) -> set[tuple[int, int]]:
+def _group_pairs(members: list[tuple], most: int | None, rule: Rule, signature: int) -> set[tuple[int, int]]:
     """Pairs of one group (or of two of its blocks) that may reach the threshold and are not joined yet.
 
-    Each class proposes its ``most`` best partners by centrality, ties to the smaller class.
+    Each class proposes its ``most`` best partners by centrality, ties to the smaller class. Copies share most of their
+    groups; a pair whose lists of smallest signatures have one in common below ``signature`` meets in that group and is left
+    to it.
     """
     members.sort(key=lambda m: (-m[3], m[0]))
     ids = np.array([m[0] for m in members])
@@ -231,6 +235,7 @@ def _group_pairs(members: list[tuple], most: int | None, rule: Rule) -> set[tupl
     joined = np.array([m[4] for m in members])
     block = np.array([m[5] for m in members])
     across = block.min() != block.max()
+    earlier = [{s for s in m[6] if s < signature} for m in members]
     found = set()
     step = max(1, min(128, COMPARED // sketch.nbytes))
     for start in range(0, len(members), step):
@@ -245,8 +250,9 @@ def _group_pairs(members: list[tuple], most: int | None, rule: Rule) -> set[tupl
         if most is not None:
             good &= np.cumsum(good, axis=1) <= most
         for x, y in zip(*np.nonzero(good)):
-            p, q = int(ids[start + x]), int(ids[y])
-            found.add((min(p, q), max(p, q)))
+            if earlier[start + x].isdisjoint(earlier[y]):
+                p, q = int(ids[start + x]), int(ids[y])
+                found.add((min(p, q), max(p, q)))
     return found
 
 
@@ -266,9 +272,9 @@ def propose(groups: DataFrame, classes: DataFrame, labels: DataFrame | None, mos
         .withColumn("own", own)
         .withColumn("other", other)
         .select("signature", "class", "component", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
-        .join(classes.select("class", "n_shingles", "sketch", "score"), "class")
+        .join(classes.select("class", "n_shingles", "sketch", "score", "early"), "class")
     )
-    names = ["signature", "low", "high", "class", "n_shingles", "sketch", "score", "component", "own"]
+    names = ["signature", "low", "high", "class", "n_shingles", "sketch", "score", "component", "own", "early"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, group, sent = [], None, set()
@@ -286,11 +292,11 @@ def propose(groups: DataFrame, classes: DataFrame, labels: DataFrame | None, mos
             for row in zip(*columns):
                 if row[:3] != group:
                     if len(held) > 1:
-                        yield out(_group_pairs(held, most, rule))
+                        yield out(_group_pairs(held, most, rule, group[0]))
                     held, group = [], row[:3]
                 held.append(row[3:])
         if len(held) > 1:
-            yield out(_group_pairs(held, most, rule))
+            yield out(_group_pairs(held, most, rule, group[0]))
 
     width = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = dealt.select(*names).repartition(width, "signature", "low", "high")  # even: much work for few bytes
@@ -395,6 +401,7 @@ def similar_classes(
             F.min(F.struct(F.coalesce("id", F.lit(NO_ID)).alias("id"), "text_hash")).alias("row"),
             F.first("n_shingles").alias("n_shingles"),
             F.first("sketch").alias("sketch"),
+            F.first(F.slice(F.array_sort("signatures"), 1, EARLY)).alias("early"),  # equal in a class, as its sketch
             F.min("check").alias("_low"),
             F.max("check").alias("_high"),
         )

@@ -146,8 +146,7 @@ def test_folded_sketches_are_sketches_of_fewer_slots():
 
 def test_candidates_grow_with_the_rows(spark, tmp_path):
     """Long unrelated texts that share a passage: five times the texts, at most six times the candidate pairs."""
-    from filmloom.llm.common import Scratch
-
+    
     class Kept(Scratch):
         def save(self, df, name):
             out = super().save(df, name)
@@ -170,3 +169,21 @@ def test_candidates_grow_with_the_rows(spark, tmp_path):
         assert len({r["component"] for r in rows}) == n
         found.append(sum(counts))
     assert 0 < found[0] and found[1] <= 6 * found[0]
+
+
+def test_near_copies_meet_in_one_of_their_groups(spark, monkeypatch):
+    """Copies share most of their groups; a pair must not leave each task that holds one of them."""
+    classes = [(c, 100, bytes(32), 40, list(range(1, 9))) for c in range(30)]
+    classes = spark.createDataFrame(classes, "class bigint, n_shingles bigint, sketch binary, score bigint, early array<bigint>")
+    groups = spark.createDataFrame([(s, c) for s in range(1, 41) for c in range(30)], "signature bigint, class bigint")
+    made, kind = [], type(groups)
+    distinct = kind.distinct
+
+    def kept(df):
+        made.append(df)
+        return distinct(df)
+
+    monkeypatch.setattr(kind, "distinct", kept)
+    for most, pairs in ((1, 29), (None, 435)):
+        found = shingle_join.propose(groups, classes, None, most, shingle_join.CONTRACT)
+        assert found.count() == made[-1].count() == pairs
