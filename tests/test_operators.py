@@ -205,6 +205,45 @@ def test_knn_recall(spark):
     assert len(found & wanted) / len(wanted) > 0.9
 
 
+def test_bucket_pairs_are_those_of_a_similarity_join(spark):
+    """Same pairs and distances as Spark's own join of the buckets, whatever the blocks; no join or regrouping of pairs."""
+    from pyspark.ml.feature import BucketedRandomProjectionLSH
+    from pyspark.ml.functions import array_to_vector
+
+    rng = np.random.default_rng(8)
+    rows = [(int(i), v.tolist()) for i, v in enumerate(rng.normal(size=(90, 5)))]
+    rows += rows[:3] + [(200, rows[0][1]), (None, rows[1][1])]  # equal rows, a copy under another id, no id
+    items = features.unit_vectors(spark.createDataFrame(rows, "movie_id bigint, vec array<double>"))
+    queries = items.where("movie_id % 3 = 0").withColumnRenamed("movie_id", "query_id")
+    sides = [df.select(key, array_to_vector("vec").alias("features")) for df, key in ((queries, "query_id"), (items, "movie_id"))]
+    model = BucketedRandomProjectionLSH(inputCol="features", outputCol="h", bucketLength=0.2, numHashTables=2, seed=42)
+    joined = model.fit(sides[1]).approxSimilarityJoin(*sides, 0.7, distCol="distance")
+    want = sorted(map(str, joined.select("datasetA.query_id", "datasetB.movie_id", "distance").collect()))
+    got = features.approx_knn(queries, items, 0.7, bucket_length=0.2, tables=2)
+    assert sorted(map(str, got.collect())) == want and len(want) > 60
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.strip().startswith("MapInArrow")
+
+    from filmloom.operators.scoring import bucket_pairs
+
+    hashed = [df.withColumn("hashes", F.array(F.floor(F.col("vec")[0] * 2).cast("double"))) for df in (queries, items)]
+    cut = {tuple(r) for r in bucket_pairs(*hashed, 0.7, block_rows=4).collect()}
+    assert cut == {tuple(r) for r in bucket_pairs(*hashed, 0.7).collect()} and len(cut) > 30
+
+
+def test_approximate_search_asks_for_every_fiftieth_row(spark, tmp_path):
+    from filmloom.workload import QUERIES
+
+    rng = np.random.default_rng(12)
+    vectors = rng.normal(size=(400, 64)) + 0.6 * rng.normal(size=(8, 64)).repeat(50, axis=0)
+    rows = [(int(i), v.tolist()) for i, v in enumerate(vectors)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    found = {(r.query_id, r.movie_id) for r in QUERIES["approx_knn"](spark, str(tmp_path)).collect()}
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    near = {(q, i) for q in range(0, 400, 50) for i in range(400) if np.linalg.norm(unit[q] - unit[i]) < 1.2}
+    assert found <= near and len(found) >= 0.9 * len(near) > 50
+
+
 def test_tfidf_formula(spark):
     docs = spark.createDataFrame([(1, "Red red ring"), (2, "red bolt"), (3, "the of"), (4, None)], "id int, text string")
     rows = {(r.id, r.term): r.weight for r in features.tfidf(docs, "id", F.col("text")).collect()}
