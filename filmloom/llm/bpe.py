@@ -27,8 +27,10 @@ START, S_SPACE, S_WHITE, S_NUMBER, S_OTHER, S_QUOTE, S_LETTER, S_R, S_V, S_L, S_
 SLICE_BYTES = 2 << 20
 CACHE_PIECES = 1 << 18
 SHORT_PIECE = 48
+MERGED_AT_ONCE = 1 << 14
 #: A lone surrogate occurs in no text, so it can part the pieces.
 CUT = 0xD800
+RARE = (0x1F, 0x1E, 0x1D, 0x1C, 0x01, 0x02)
 BLOCK = 512
 
 
@@ -148,13 +150,26 @@ class Merger:
     def __init__(self, path: str):
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        # Two generations: what was not asked for while the younger one filled up goes.
         self.cache: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
         self.words = [b""] * (max(self.ranks.values()) + 1)
         for word, rank in self.ranks.items():
             self.words[rank] = word
         self.sizes = np.array([len(w) for w in self.words], np.int64)
         self.data = np.frombuffer(b"".join(self.words), np.uint8)
         self.at = np.concatenate([[0], np.cumsum(self.sizes)])[:-1]
+        self.vocabulary = pa.array(self.words, pa.binary())
+        # Every way to make a token of two others, by the numbers of the two.
+        ranks, n = self.ranks, len(self.words)
+        pairs = [
+            (left * n + right, rank)
+            for word, rank in ranks.items()
+            for cut in range(1, len(word))
+            if (left := ranks.get(word[:cut])) is not None and (right := ranks.get(word[cut:])) is not None
+        ]
+        self.pair_keys, self.pair_ranks = np.array(sorted(pairs), np.int64).reshape(-1, 2).T.copy()
+        self.singles = np.array([ranks[bytes([i])] for i in range(256)], np.int64)
 
     def merge_short(self, piece: bytes) -> tuple[int, ...]:
         """Lowest rank first, leftmost on ties; one pass over the pairs for each merge."""
@@ -202,14 +217,85 @@ class Merger:
             i = end[i]
         return tuple(out)
 
-    def tokens(self, piece: str) -> tuple[int, ...]:
-        found = self.cache.get(piece)
-        if found is None:
-            found = self.merge(piece.encode())
+    def merge_many(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        """As ``merge_short`` for many pieces at once: every round makes the next merge of each piece that has one left."""
+        none, n = len(self.words), len(pieces)
+        sizes = np.fromiter(map(len, pieces), np.int64, n)
+        parts = self.singles[np.frombuffer(b"".join(pieces), np.uint8)]
+        owner = np.repeat(np.arange(n), sizes)
+        last = np.ones(len(parts), bool)
+        last[:-1] = owner[1:] != owner[:-1]
+
+        def ranks(at: np.ndarray) -> np.ndarray:
+            """Ranks of the pairs that start at these places, which are no piece's last."""
+            keys = parts[at] * none + parts[at + 1]
+            found = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+            return np.where(self.pair_keys[found] == keys, self.pair_ranks[found], none)
+
+        rank = np.full(len(parts), none)
+        inner = np.flatnonzero(~last)
+        rank[inner] = ranks(inner)
+        done_parts, done_owner = [], []
+        while len(parts):
+            starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+            low = np.minimum.reduceat(rank, starts)
+            lengths = np.diff(starts, append=len(parts))
+            over = np.repeat(low == none, lengths)
+            if over.any():
+                done_parts.append(parts[over])
+                done_owner.append(owner[over])
+                keep = ~over
+                parts, owner, last, rank = parts[keep], owner[keep], last[keep], rank[keep]
+                low, lengths = low[low != none], lengths[low != none]
+                if not len(parts):
+                    break
+            hits = np.flatnonzero(rank == np.repeat(low, lengths))
+            at = hits[np.concatenate([[True], owner[hits[1:]] != owner[hits[:-1]]])]  # the leftmost of each piece
+            parts[at], last[at] = low, last[at + 1]
+            keep = np.ones(len(parts), bool)
+            keep[at + 1] = False
+            at = at - np.arange(len(at))  # one part before it has gone for each earlier piece
+            parts, owner, last, rank = parts[keep], owner[keep], last[keep], rank[keep]
+            rank[at] = none
+            changed = np.concatenate([at[~last[at]], at[(at > 0) & ~last[at - 1]] - 1])
+            rank[changed] = ranks(changed)
+        if not done_parts:
+            return []
+        owner = np.concatenate(done_owner)
+        order = np.argsort(owner, kind="stable")
+        flat = np.concatenate(done_parts)[order].tolist()
+        ends = np.cumsum(np.bincount(owner, minlength=n)).tolist()
+        return [tuple(flat[i:j]) for i, j in zip([0, *ends], ends)]
+
+    def learn(self, pieces: set[str]) -> dict[str, tuple[int, ...]]:
+        """Ids of pieces that the younger generation lacks."""
+        older = self.older.get
+        known = {p: ids for p in pieces if (ids := older(p)) is not None}
+        short = []
+        for piece in pieces - known.keys():
+            whole = piece.encode()
+            if whole in self.ranks:
+                known[piece] = (self.ranks[whole],)
+            elif len(whole) <= SHORT_PIECE:
+                short.append((piece, whole))
+            else:
+                known[piece] = self.merge(whole)
+        for first in range(0, len(short), MERGED_AT_ONCE):
+            chunk = short[first : first + MERGED_AT_ONCE]
+            known.update(zip([p for p, _ in chunk], self.merge_many([w for _, w in chunk])))
+        for piece, ids in known.items():
             if len(piece) <= 256:
-                if len(self.cache) >= CACHE_PIECES:
-                    self.cache.clear()
-                self.cache[piece] = found
+                if len(self.cache) >= CACHE_PIECES // 2:
+                    self.older, self.cache = self.cache, {}
+                self.cache[piece] = ids
+        return known
+
+    def lookup(self, pieces: list[str]) -> list[tuple[int, ...]]:
+        found = list(map(self.cache.get, pieces))
+        missing = {p for p, ids in zip(pieces, found) if ids is None}
+        if missing:
+            known = self.learn(missing)
+            found = [known[p] if ids is None else ids for p, ids in zip(pieces, found)]
         return found
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> bytes:
@@ -224,16 +310,44 @@ class Merger:
         return out.tobytes()
 
 
+    def decode_lists(self, ids: pa.ListArray, offsets: pa.ListArray) -> pa.Array:
+        """Bytes of each list of ids. Lists whose tokens follow each other without a gap are laid out all at once."""
+        ends = np.asarray(ids.offsets).astype(np.int64)
+        flat = ids.values.slice(ends[0], ends[-1] - ends[0]).to_numpy(zero_copy_only=False)
+        ends = ends - ends[0]
+        at = np.concatenate([[0], np.cumsum(self.sizes[flat])])
+        if not ids.null_count and not offsets.null_count and at[-1] < 1 << 31:
+            places = offsets.flatten().to_numpy(zero_copy_only=False)
+            if np.array_equal(ends, np.asarray(offsets.offsets) - np.asarray(offsets.offsets)[0]):
+                # Each list has one distance between its places and those of the whole batch, if it has no gap.
+                apart = at[:-1] - places
+                same = apart[1:] == apart[:-1]
+                same[ends[(ends > 0) & (ends < len(flat))] - 1] = True
+                if same.all():
+                    data = self.vocabulary.take(pa.array(flat)).buffers()[2] if len(flat) else pa.py_buffer(b"")
+                    return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(at[ends].astype(np.int32)), data])
+        decoded = []
+        for own, places in zip(ids, offsets):
+            if own.values is None or places.values is None:
+                decoded.append(None)
+                continue
+            decoded.append(self.decode(own.values.to_numpy(), places.values.to_numpy()))
+        return pa.array(decoded, pa.binary())
+
+
 def encode_texts(texts: list[str], scanner: Scanner, merger: Merger) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids of all texts in a row, each one's byte offset in its text, and the number of ids per text."""
     points, places, per_text = scanner.starts(texts)
     inner = np.ones(len(places), bool)
     first = np.cumsum(per_text) - per_text
     inner[first[per_text > 0]] = False  # a text's first piece already stands after a cut, or at the very start
-    parted = np.insert(points, places[inner], CUT).astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
-    pieces = parted.split(chr(CUT))[:-1]
-    get, tokens = merger.cache.get, merger.tokens
-    found = [get(p) or tokens(p) for p in pieces if p]
+    parted = np.insert(points, places[inner], CUT)
+    # Surrogates are slow to decode, so a rare character that these texts lack stands for the cut.
+    cut = next((c for c in RARE if not (points == c).any()), CUT)
+    if cut != CUT:
+        parted[parted == CUT] = cut
+    pieces = parted.astype("<u4", copy=False).tobytes().decode("utf-32-le", "surrogatepass").split(chr(cut))[:-1]
+    found = merger.lookup(list(filter(None, pieces)))
     per_piece = np.fromiter(map(len, found), np.int64, len(found))
     ids = np.fromiter(chain.from_iterable(found), np.int32, int(per_piece.sum()))
     piece_ends = np.concatenate([[0], np.cumsum(per_piece)])
@@ -291,14 +405,7 @@ def decode(df: DataFrame, vocabulary: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merger = worker_cache(f"bpe_merger_{vocabulary}", lambda: Merger(vocabulary))
         for batch in batches:
-            decoded = []
-            for ids, offsets in zip(batch.column("ids"), batch.column("offsets")):
-                if ids.values is None or offsets.values is None:
-                    decoded.append(None)
-                    continue
-                decoded.append(merger.decode(ids.values.to_numpy(), offsets.values.to_numpy()))
-            yield pa.RecordBatch.from_arrays(
-                [*map(batch.column, keep), pa.array(decoded, pa.binary())], names=[*keep, "decoded"]
-            )
+            decoded = merger.decode_lists(batch.column("ids"), batch.column("offsets"))
+            yield pa.RecordBatch.from_arrays([*map(batch.column, keep), decoded], names=[*keep, "decoded"])
 
     return df.select(*keep).mapInArrow(run, schema)

@@ -265,3 +265,32 @@ def test_license_notices_do_not_depend_on_line_breaks(spark):
         assert {b["label"] for b in r["blocks"]} == labels and r["score"] == best
     assert [r["labels"] for r in rows[:3]] == ["mit", "bsd", ""]
     assert [(b["first_word"], b["n_words"]) for b in rows[3]["blocks"]] == [(30, 16), (79, 16)]
+
+
+def test_many_pieces_merge_as_each_alone():
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+
+    from filmloom.llm import bpe
+    from filmloom.llm.queries import vocabulary
+
+    merger, draw = bpe.Merger(vocabulary()), random.Random(5)
+    pieces = [bytes(draw.choices(b"abefhinorst \xc3\xa9\xff", k=draw.randint(1, 48))) for _ in range(400)] + [b"a" * 31, b"a"]
+    assert merger.merge_many(pieces) == [merger.merge_short(p) for p in pieces] and merger.merge_many([]) == []
+    # Texts that hold every separator, one after the other, and more pieces than a generation keeps.
+    texts = ["plain words", "", "a\x1fb\x1e c\x1d\x1c\x01\x02 'll", "über \U0001f600 x" * 3, "퟿"]
+    scanner, old = bpe.Scanner(), bpe.CACHE_PIECES
+    try:
+        bpe.CACHE_PIECES = 4
+        ids, offsets, counts = bpe.encode_texts(texts, scanner, merger)
+    finally:
+        bpe.CACHE_PIECES = old
+    lists = [bpe._lists(x, counts, pa.int32()) for x in (ids, offsets)]
+    assert merger.decode_lists(*lists).to_pylist() == [t.encode() for t in texts]
+    assert merger.decode_lists(*[x.slice(2, 2) for x in lists]).to_pylist() == [t.encode() for t in texts[2:4]]
+    # A gap between tokens stays a gap, and a null list has no bytes.
+    gap = [pa.array([[int(merger.ranks[b"a"]), int(merger.ranks[b"b"])], None], pa.list_(pa.int32())), pa.array([[0, 3], None], pa.list_(pa.int32()))]
+    assert merger.decode_lists(*gap).to_pylist() == [b"a\0\0b", None]
+    assert np.array_equal(np.asarray(lists[0].offsets)[-1:], [len(ids)])
