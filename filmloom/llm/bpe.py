@@ -25,9 +25,11 @@ SEP, SPACE, WHITE, NUMBER, OTHER, QUOTE, LETTER, SHORT, R, V, L, E = range(12)
 START, S_SPACE, S_WHITE, S_NUMBER, S_OTHER, S_QUOTE, S_LETTER, S_R, S_V, S_L, S_DONE = range(11)
 
 SLICE_BYTES = 2 << 20
-CACHE_PIECES = 1 << 18
+CACHE_PIECES = 3 << 16
 SHORT_PIECE = 48
-MERGED_AT_ONCE = 1 << 14
+MERGED_AT_ONCE = 1 << 13
+#: Tokens of whole texts that are laid out together.
+DECODED_AT_ONCE = 1 << 17
 #: A lone surrogate occurs in no text, so it can part the pieces.
 CUT = 0xD800
 RARE = (0x1F, 0x1E, 0x1D, 0x1C, 0x01, 0x02)
@@ -405,7 +407,10 @@ def decode(df: DataFrame, vocabulary: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merger = worker_cache(f"bpe_merger_{vocabulary}", lambda: Merger(vocabulary))
         for batch in batches:
-            decoded = merger.decode_lists(batch.column("ids"), batch.column("offsets"))
+            ids, offsets = batch.column("ids"), batch.column("offsets")
+            group = np.asarray(ids.offsets)[:-1] // DECODED_AT_ONCE
+            cuts = [0, *(np.flatnonzero(np.diff(group)) + 1), len(ids)]
+            decoded = pa.concat_arrays([merger.decode_lists(ids.slice(i, j - i), offsets.slice(i, j - i)) for i, j in zip(cuts, cuts[1:])])
             yield pa.RecordBatch.from_arrays([*map(batch.column, keep), decoded], names=[*keep, "decoded"])
 
     return df.select(*keep).mapInArrow(run, schema)
