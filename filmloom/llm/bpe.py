@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -24,7 +25,7 @@ SEP, SPACE, WHITE, NUMBER, OTHER, QUOTE, LETTER, SHORT, R, V, L, E = range(12)
 # States: what the last character was, and how far a contraction such as 're has come.
 START, S_SPACE, S_WHITE, S_NUMBER, S_OTHER, S_QUOTE, S_LETTER, S_R, S_V, S_L, S_DONE = range(11)
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 CACHE_PIECES = 3 << 16
 SHORT_PIECE = 48
 MERGED_AT_ONCE = 1 << 13
@@ -66,8 +67,8 @@ def _classes() -> np.ndarray:
     """Class of every code point. The tokenizer library itself says which are letters, numbers and white space."""
     import tiktoken
 
-    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
-    everything = "".join(map(chr, points))
+    points = np.arange(0x110000, dtype="<u4")
+    everything = points[(points < 0xD800) | (points >= 0xE000)].tobytes().decode("utf-32-le")
     single = {bytes([i]): i for i in range(256)}
     table = np.full(0x110000, OTHER, np.uint8)
     for pattern, kind in ((r"\p{L}", LETTER), (r"\p{N}", NUMBER), (r"\s", WHITE)):
@@ -146,36 +147,86 @@ class Scanner:
         return points, places, counts
 
 
-class Merger:
+def _ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as lines:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+
+
+class Tokens:
+    """The bytes of every token, laid out one after the other: all that decoding needs."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        words = [b""] * (max(ranks.values()) + 1)
+        for word, rank in ranks.items():
+            words[rank] = word
+        self.sizes = np.fromiter(map(len, words), np.int64, len(words))
+        self.data = np.frombuffer(b"".join(words), np.uint8)
+        self.at = np.concatenate([[0], np.cumsum(self.sizes)])[:-1]
+        self.vocabulary = pa.array(words, pa.binary())
+
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> bytes:
+        """Lays each token's bytes at its offset, counted from the first."""
+        if not len(ids):
+            return b""
+        sizes = self.sizes[ids]
+        offsets = offsets.astype(np.int64) - int(offsets[0])
+        within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        out = np.zeros(int(offsets[-1] + sizes[-1]), np.uint8)
+        out[np.repeat(offsets, sizes) + within] = self.data[np.repeat(self.at[ids], sizes) + within]
+        return out.tobytes()
+
+    def decode_lists(self, ids: pa.ListArray, offsets: pa.ListArray) -> pa.Array:
+        """Bytes of each list of ids. Lists whose tokens follow each other without a gap are laid out all at once."""
+        ends = np.asarray(ids.offsets).astype(np.int64)
+        flat = ids.values.slice(ends[0], ends[-1] - ends[0]).to_numpy(zero_copy_only=False)
+        ends = ends - ends[0]
+        at = np.concatenate([[0], np.cumsum(self.sizes[flat])])
+        if not ids.null_count and not offsets.null_count and at[-1] < 1 << 31:
+            places = offsets.flatten().to_numpy(zero_copy_only=False)
+            if np.array_equal(ends, np.asarray(offsets.offsets) - np.asarray(offsets.offsets)[0]):
+                # Each list has one distance between its places and those of the whole batch, if it has no gap.
+                apart = at[:-1] - places
+                same = apart[1:] == apart[:-1]
+                same[ends[(ends > 0) & (ends < len(flat))] - 1] = True
+                if same.all():
+                    data = self.vocabulary.take(pa.array(flat)).buffers()[2] if len(flat) else pa.py_buffer(b"")
+                    return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(at[ends].astype(np.int32)), data])
+        decoded = []
+        for own, places in zip(ids, offsets):
+            if own.values is None or places.values is None:
+                decoded.append(None)
+                continue
+            decoded.append(self.decode(own.values.to_numpy(), places.values.to_numpy()))
+        return pa.array(decoded, pa.binary())
+
+
+class Merger(Tokens):
     """Pair merging by rank, with the pieces of earlier texts kept up to a bound."""
 
     def __init__(self, path: str):
-        with open(path, "rb") as lines:
-            self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        self.ranks = _ranks(path)
+        super().__init__(self.ranks)
         # Two generations: what was not asked for while the younger one filled up goes.
         self.cache: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
-        self.words = [b""] * (max(self.ranks.values()) + 1)
-        for word, rank in self.ranks.items():
-            self.words[rank] = word
-        self.sizes = np.array([len(w) for w in self.words], np.int64)
-        self.data = np.frombuffer(b"".join(self.words), np.uint8)
-        self.at = np.concatenate([[0], np.cumsum(self.sizes)])[:-1]
-        self.vocabulary = pa.array(self.words, pa.binary())
         # Every way to make a token of two others, by the numbers of the two.
-        ranks, n = self.ranks, len(self.words)
-        pairs = [
-            (left * n + right, rank)
-            for word, rank in ranks.items()
-            for cut in range(1, len(word))
-            if (left := ranks.get(word[:cut])) is not None and (right := ranks.get(word[cut:])) is not None
-        ]
-        self.pair_keys, self.pair_ranks = np.array(sorted(pairs), np.int64).reshape(-1, 2).T.copy()
+        ranks, n = self.ranks, len(self.sizes)
+        keys, made = array("q"), array("q")
+        for word, rank in ranks.items():
+            for cut in range(1, len(word)):
+                if (left := ranks.get(word[:cut])) is not None and (right := ranks.get(word[cut:])) is not None:
+                    keys.append(left * n + right)
+                    made.append(rank)
+        keys, made = np.array(keys, np.int64), np.array(made, np.int64)
+        order = np.argsort(keys)
+        self.pair_keys, self.pair_ranks = keys[order], made[order]
         self.singles = np.array([ranks[bytes([i])] for i in range(256)], np.int64)
+        #: One object per id, which all cached pieces share.
+        self.numbers = list(range(n))
 
     def merge_short(self, piece: bytes) -> tuple[int, ...]:
         """Lowest rank first, leftmost on ties; one pass over the pairs for each merge."""
-        ranks, none = self.ranks, len(self.words)
+        ranks, none = self.ranks, len(self.sizes)
         get = ranks.get
         parts = [piece[i : i + 1] for i in range(len(piece))]
         pairs = [get(piece[i : i + 2], none) for i in range(len(piece) - 1)]
@@ -221,7 +272,7 @@ class Merger:
 
     def merge_many(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
         """As ``merge_short`` for many pieces at once: every round makes the next merge of each piece that has one left."""
-        none, n = len(self.words), len(pieces)
+        none, n = len(self.sizes), len(pieces)
         sizes = np.fromiter(map(len, pieces), np.int64, n)
         parts = self.singles[np.frombuffer(b"".join(pieces), np.uint8)]
         owner = np.repeat(np.arange(n), sizes)
@@ -265,7 +316,7 @@ class Merger:
             return []
         owner = np.concatenate(done_owner)
         order = np.argsort(owner, kind="stable")
-        flat = np.concatenate(done_parts)[order].tolist()
+        flat = list(map(self.numbers.__getitem__, np.concatenate(done_parts)[order].tolist()))
         ends = np.cumsum(np.bincount(owner, minlength=n)).tolist()
         return [tuple(flat[i:j]) for i, j in zip([0, *ends], ends)]
 
@@ -300,42 +351,6 @@ class Merger:
             found = [known[p] if ids is None else ids for p, ids in zip(pieces, found)]
         return found
 
-    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> bytes:
-        """Lays each token's bytes at its offset, counted from the first."""
-        if not len(ids):
-            return b""
-        sizes = self.sizes[ids]
-        offsets = offsets.astype(np.int64) - int(offsets[0])
-        within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        out = np.zeros(int(offsets[-1] + sizes[-1]), np.uint8)
-        out[np.repeat(offsets, sizes) + within] = self.data[np.repeat(self.at[ids], sizes) + within]
-        return out.tobytes()
-
-
-    def decode_lists(self, ids: pa.ListArray, offsets: pa.ListArray) -> pa.Array:
-        """Bytes of each list of ids. Lists whose tokens follow each other without a gap are laid out all at once."""
-        ends = np.asarray(ids.offsets).astype(np.int64)
-        flat = ids.values.slice(ends[0], ends[-1] - ends[0]).to_numpy(zero_copy_only=False)
-        ends = ends - ends[0]
-        at = np.concatenate([[0], np.cumsum(self.sizes[flat])])
-        if not ids.null_count and not offsets.null_count and at[-1] < 1 << 31:
-            places = offsets.flatten().to_numpy(zero_copy_only=False)
-            if np.array_equal(ends, np.asarray(offsets.offsets) - np.asarray(offsets.offsets)[0]):
-                # Each list has one distance between its places and those of the whole batch, if it has no gap.
-                apart = at[:-1] - places
-                same = apart[1:] == apart[:-1]
-                same[ends[(ends > 0) & (ends < len(flat))] - 1] = True
-                if same.all():
-                    data = self.vocabulary.take(pa.array(flat)).buffers()[2] if len(flat) else pa.py_buffer(b"")
-                    return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(at[ends].astype(np.int32)), data])
-        decoded = []
-        for own, places in zip(ids, offsets):
-            if own.values is None or places.values is None:
-                decoded.append(None)
-                continue
-            decoded.append(self.decode(own.values.to_numpy(), places.values.to_numpy()))
-        return pa.array(decoded, pa.binary())
-
 
 def encode_texts(texts: list[str], scanner: Scanner, merger: Merger) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids of all texts in a row, each one's byte offset in its text, and the number of ids per text."""
@@ -399,18 +414,24 @@ def encode(df: DataFrame, vocabulary: str, text: str = "text", keep: list[str] |
     return source.mapInArrow(run, schema)
 
 
-def decode(df: DataFrame, vocabulary: str) -> DataFrame:
-    """Adds ``decoded``, the bytes that ``ids`` stand for, laid out by ``offsets``; null lists give null."""
-    keep = [c for c in df.columns if c != "decoded"]
+def decode(df: DataFrame, vocabulary: str, keep: list[str] | None = None) -> DataFrame:
+    """Adds ``decoded``, the bytes that ``ids`` stand for, laid out by ``offsets``, to the kept columns, by default all.
+
+    Null lists give null.
+    """
+    keep = [c for c in (df.columns if keep is None else keep) if c != "decoded"]
     schema = _schema(df, keep, T.StructField("decoded", T.BinaryType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merger = worker_cache(f"bpe_merger_{vocabulary}", lambda: Merger(vocabulary))
+        tokens = worker_cache(f"bpe_tokens_{vocabulary}", lambda: Tokens(_ranks(vocabulary)))
         for batch in batches:
-            ids, offsets = batch.column("ids"), batch.column("offsets")
-            group = np.asarray(ids.offsets)[:-1] // DECODED_AT_ONCE
-            cuts = [0, *(np.flatnonzero(np.diff(group)) + 1), len(ids)]
-            decoded = pa.concat_arrays([merger.decode_lists(ids.slice(i, j - i), offsets.slice(i, j - i)) for i, j in zip(cuts, cuts[1:])])
-            yield pa.RecordBatch.from_arrays([*map(batch.column, keep), decoded], names=[*keep, "decoded"])
-
-    return df.select(*keep).mapInArrow(run, schema)
+            lists = batch.column("ids")
+            group = np.asarray(lists.offsets)[:-1] // DECODED_AT_ONCE
+            cuts = [0, *(np.flatnonzero(np.diff(group)) + 1), batch.num_rows]
+            for i, j in zip(cuts, cuts[1:]):
+                part = batch.slice(i, j - i)  # rows leave as they are done, so no second batch of texts is held
+                decoded = tokens.decode_lists(part.column("ids"), part.column("offsets"))
+                yield pa.RecordBatch.from_arrays([*map(part.column, keep), decoded], names=[*keep, "decoded"])
+
+    needed = dict.fromkeys([*keep, "ids", "offsets"])
+    return df.select(*[c for c in df.columns if c in needed]).mapInArrow(run, schema)

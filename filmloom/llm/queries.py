@@ -47,13 +47,15 @@ def vocabulary() -> str:
 @query("op1_byte_bpe")
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    decoded = bpe.decode(bpe.encode(docs, vocabulary()), vocabulary())
-    return decoded.select(
+    encoded = bpe.encode(docs, vocabulary()).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        "ids",
+        "offsets",
     )
+    decoded = bpe.decode(encoded, vocabulary(), keep=["doc_id", "n_tokens", "ids_sha256"])
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 @query("op4_quality_rules")

@@ -294,3 +294,23 @@ def test_many_pieces_merge_as_each_alone():
     gap = [pa.array([[int(merger.ranks[b"a"]), int(merger.ranks[b"b"])], None], pa.list_(pa.int32())), pa.array([[0, 3], None], pa.list_(pa.int32()))]
     assert merger.decode_lists(*gap).to_pylist() == [b"a\0\0b", None]
     assert np.array_equal(np.asarray(lists[0].offsets)[-1:], [len(ids)])
+
+
+def test_encoding_workers_stay_small(spark):
+    import tracemalloc
+
+    from filmloom.llm import bpe
+
+    tracemalloc.start()
+    try:
+        bpe._classes()
+        assert tracemalloc.get_traced_memory()[1] < 40 << 20
+    finally:
+        tracemalloc.stop()
+    merger = bpe.Merger(vocabulary())
+    one, two = merger.lookup(["zqxjzqxj", "zqxjzqxjzqxj"])
+    assert all(any(x is y for y in two) for x in one if x in two)
+    docs = spark.createDataFrame([(1, "a b"), (2, None), (None, "c")], "doc_id long, text string")
+    rows = bpe.decode(bpe.encode(docs, vocabulary()), vocabulary(), keep=["doc_id"])
+    assert rows.columns == ["doc_id", "decoded"]
+    assert sorted(bytes(r["decoded"]) for r in rows.collect()) == [b"", b"a b", b"c"]
