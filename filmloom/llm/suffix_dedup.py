@@ -289,6 +289,37 @@ def solve(rows: DataFrame, scratch: Scratch, length: int, level: int = 0) -> Dat
     return cold.union(scratch.save(gathered.mapInArrow(run, MARK), f"gathered-{level}"))
 
 
+def flat_texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of all texts in a row, and where each one starts and the last one ends; null counts as empty."""
+    column = column.cast(pa.large_binary()).fill_null(b"")
+    at = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    values = column.buffers()[2]
+    return np.frombuffer(values, np.uint8)[at[0] : at[-1]] if values is not None else np.zeros(0, np.uint8), at - at[0]
+
+
+def flat_lists(column: pa.ListArray) -> tuple[pa.StructArray, np.ndarray]:
+    """Items of all lists in a row, and the place of each one's list."""
+    ends = np.asarray(column.offsets)
+    return column.values.slice(ends[0], ends[-1] - ends[0]), np.repeat(np.arange(len(column)), np.diff(ends))
+
+
+def covered(found: pa.StructArray, base: np.ndarray, size: int, length: int) -> np.ndarray:
+    """Which of ``size`` bytes stand in a repeated window. An item is a run of ``n`` windows from ``first`` on, counted from
+    its ``base``; ``mask`` tells which of them are repeated, and null means all. No two runs share a window."""
+    first, n = (found.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("first", "n"))
+    first, mask = first + base, found.field("mask").cast(pa.large_binary())
+    whole = mask.is_null().to_numpy(zero_copy_only=False)
+    at = np.frombuffer(mask.buffers()[1], np.int64)[mask.offset : mask.offset + len(mask) + 1]
+    bits = np.unpackbits(np.frombuffer(mask.buffers()[2] or b"", np.uint8)[at[0] : at[-1]])
+    told = np.where(whole, 0, np.minimum(n, 8 * np.diff(at)))  # a mask ends with its last block that was not alone
+    within = np.arange(told.sum()) - np.repeat(np.cumsum(told) - told, told)
+    hit = bits[np.repeat(8 * (at[:-1] - at[0]), told) + within] > 0
+    starts = (np.repeat(first, told) + within)[hit]
+    edge = np.bincount(np.concatenate([starts, first[whole]]), minlength=size + 1)
+    edge -= np.bincount(np.concatenate([starts + length, (first + n - 1 + length)[whole]]), minlength=size + 1)
+    return np.cumsum(edge)[:size] > 0
+
+
 # -- the whole job ---------------------------------------------------------------------------------------------------
 
 
@@ -324,18 +355,16 @@ def without_repeats(docs: DataFrame, scratch: Scratch, text: str = "text", lengt
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "_text", 1 << 20):
-            out = []
-            for row, whole, found in zip(*(part.column(c).to_pylist() for c in ("row", "_text", "runs"))):
-                data = whole.encode()
-                for r in found:
-                    first, n, core = r["span"] >> 16, r["span"] >> 8 & 255, r["span"] & 255
-                    core -= 256 if core > 127 else 0
-                    same = xxhash.xxh3_64_intdigest(data[first : first + n - 1 + length])
-                    out.append((r["key"], same, row, first, n, core))
-            columns = list(zip(*out)) if out else [()] * 6
-            kinds = [pa.int64(), pa.uint64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-            arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
-            arrays[1] = arrays[1].view(pa.int64())
+            data, at = flat_texts(part.column("_text"))
+            found, owner = flat_lists(part.column("runs"))
+            span = found.field("span").to_numpy()
+            first, n, core = span >> 16, span >> 8 & 255, span & 255
+            core = np.where(core > 127, core - 256, core)
+            low, held = first + at[owner], memoryview(data)
+            ends = low + n - 1 + length
+            same = [xxhash.xxh3_64_intdigest(held[i:j]) for i, j in zip(low.tolist(), ends.tolist())]
+            columns = [found.field("key"), np.array(same, np.uint64).view(np.int64), part.column("row").take(pa.array(owner)), first]
+            arrays = [pa.array(c) for c in columns] + [pa.array(c.astype(np.int32)) for c in (n, core)]
             yield pa.RecordBatch.from_arrays(arrays, names=["key", "same", "row", "first", "n", "core"])
 
     spots = scratch.save(texts.mapInArrow(runs, RUN), "runs")
@@ -348,14 +377,14 @@ def without_repeats(docs: DataFrame, scratch: Scratch, text: str = "text", lengt
 
     def snippets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "_text", 1 << 20):
-            out = []
-            for whole, found in zip(part.column("_text").to_pylist(), part.column("wanted").to_pylist()):
-                data = whole.encode()
-                for r in found:
-                    first, n = r["at"]["first"], r["at"]["n"]
-                    out.append((r["key"], r["same"], r["seen"], data[first : first + n - 1 + length], r["at"]["core"]))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32()]
-            columns = [pa.array(c, k) for c, k in zip(zip(*out) if out else [()] * 5, kinds)]
+            data, at = flat_texts(part.column("_text"))
+            found, owner = flat_lists(part.column("wanted"))
+            place = found.field("at")
+            low = place.field("first").to_numpy() + at[owner]
+            ends = low + place.field("n").to_numpy() - 1 + length
+            held = data.tobytes()
+            cut = pa.array([held[i:j] for i, j in zip(low.tolist(), ends.tolist())], pa.binary())
+            columns = [found.field("key"), found.field("same"), found.field("seen"), cut, place.field("core")]
             yield pa.RecordBatch.from_arrays(columns, names=["key", "same", "seen", "snippet", "core"])
 
     cut = texts.select("row", "_text").join(wanted, "row").select("_text", "wanted").mapInArrow(snippets, SNIPPET)
@@ -373,21 +402,17 @@ def without_repeats(docs: DataFrame, scratch: Scratch, text: str = "text", lengt
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "_text", 1 << 20):
-            out = []
-            for row, whole, found in zip(*(part.column(c).to_pylist() for c in ("row", "_text", "found"))):
-                data = np.frombuffer(whole.encode(), np.uint8)
-                edge = np.zeros(len(data) + 1, np.int32)
-                for r in found:
-                    hit = np.ones(r["n"], bool)
-                    if r["mask"] is not None:
-                        hit = np.unpackbits(np.frombuffer(r["mask"], np.uint8))[: r["n"]].astype(bool)
-                    starts = r["first"] + np.flatnonzero(hit)
-                    edge[starts] += 1
-                    edge[starts + length] -= 1
-                gone = np.cumsum(edge)[:-1] > 0
-                begins = np.count_nonzero(gone[1:] & ~gone[:-1]) + int(gone[0])
-                out.append((row, int(gone.sum()), int(begins), data[~gone].tobytes()))
-            columns = [pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))]
+            data, at = flat_texts(part.column("_text"))
+            found, owner = flat_lists(part.column("found"))
+            gone = covered(found, at[owner], len(data), length)
+            begins = gone.copy()
+            begins[1:] &= ~gone[:-1]
+            opens = at[:-1][at[:-1] < len(data)]
+            begins[opens] = gone[opens]  # a text's first byte, whatever the text before ends with
+            n_gone, n_spans = (np.diff(np.concatenate([[0], np.cumsum(x)])[at]) for x in (gone, begins))
+            left = np.concatenate([[0], np.cumsum(np.diff(at) - n_gone)]).astype(np.int32)
+            kept = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer(left), pa.py_buffer(data[~gone])])
+            columns = [part.column("row"), pa.array(n_gone), pa.array(n_spans), kept]
             yield pa.RecordBatch.from_arrays(columns, names=["row", "n_removed", "n_spans", "kept"])
 
     changed = texts.select("row", "_text").join(judged, "row").select("row", "_text", "found").mapInArrow(remove, schema)

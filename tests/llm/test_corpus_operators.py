@@ -314,3 +314,38 @@ def test_encoding_workers_stay_small(spark):
     rows = bpe.decode(bpe.encode(docs, vocabulary()), vocabulary(), keep=["doc_id"])
     assert rows.columns == ["doc_id", "decoded"]
     assert sorted(bytes(r["decoded"]) for r in rows.collect()) == [b"", b"a b", b"c"]
+
+
+def test_covered_bytes_of_many_texts_at_once():
+    import pyarrow as pa
+
+    rng, length = np.random.default_rng(4), 5
+    kind = pa.list_(pa.struct([("first", pa.int64()), ("n", pa.int32()), ("mask", pa.binary())]))
+    sizes, lists, plain = [40, 5, 0, 23], [], []
+    for size in sizes:
+        items, gone, first = [], np.zeros(size, bool), 0
+        while first + length <= size:
+            n = int(min(rng.integers(1, 12), size - length + 1 - first))
+            hit = rng.random(n) < 0.2
+            mask = [np.packbits(hit).tobytes(), None, np.packbits(hit).tobytes()[:1]][rng.integers(3)]
+            bits = np.ones(n, bool) if mask is None else np.unpackbits(np.frombuffer(mask, np.uint8))[:n]
+            for w in np.flatnonzero(bits):
+                gone[first + w : first + w + length] = True
+            if rng.random() < 0.7 or mask is None:
+                items.append({"first": first, "n": n, "mask": mask})
+            else:
+                items.append({"first": first, "n": n, "mask": b"\0"})
+                gone[:] = False
+                for x in items:
+                    bits = np.ones(x["n"], bool) if x["mask"] is None else np.unpackbits(np.frombuffer(x["mask"], np.uint8))[: x["n"]]
+                    for w in np.flatnonzero(bits):
+                        gone[x["first"] + w : x["first"] + w + length] = True
+            first += n
+        lists.append(items)
+        plain.append(gone)
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    for low, high in ((0, 4), (1, 4), (2, 3)):
+        found, owner = suffix_dedup.flat_lists(pa.array(lists, kind).slice(low, high - low))
+        base = at[low:high][owner] - at[low]
+        got = suffix_dedup.covered(found, base, at[high] - at[low], length)
+        assert np.array_equal(got, np.concatenate(plain[low:high]))
