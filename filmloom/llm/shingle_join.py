@@ -27,7 +27,9 @@ from filmloom.llm.common import Scratch, slices, worker_cache
 
 SKETCH_BITS, MOST_SKETCH_BITS = 256, 1 << 24
 #: Bytes of sketches that are compared at once.
-COMPARED = 1 << 24
+COMPARED = 1 << 22
+#: Bytes of texts on each side of the pairs that a worker verifies at once.
+VERIFIED = 1 << 20
 
 
 class Rule(NamedTuple):
@@ -349,7 +351,7 @@ def verify(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words_of = re.compile(WORD_BYTES)
         seen: list = [None, None]
-        for batch in batches:
+        for batch in slices(slices(batches, "_left", VERIFIED), "_right", VERIFIED):
             keep = []
             for b, x, y in zip(*(batch.column(c).to_pylist() for c in ("b", "_left", "_right"))):
                 if seen[0] != b:

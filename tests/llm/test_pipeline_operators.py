@@ -271,3 +271,16 @@ def test_cutoffs_of_small_strata(spark):
     assert 217 < row["n"] < 1300 and row["k"] == 0 and 0.98 ** row["n"] <= 0.05
     judged = quality.apply_cutoffs(counted, cutoffs).where("lang = 'fr'").collect()
     assert all(r["kept"] == (r["symbol_ratio"] == 0) for r in judged)
+
+
+def test_pairs_are_verified_some_texts_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(shingle_join, "VERIFIED", 50)
+    words = [f"w{i}" for i in range(24)]
+    texts = {n: " ".join(words[: 24 - n] + [f"x{n}"] * n) for n in range(6)}
+    rule = shingle_join.Rule(numerator=7)
+    sets = {n: set(zip(*(t.split()[i:] for i in range(3)))) for n, t in texts.items()}
+    pairs = [(a, b) for a in texts for b in texts if a < b]
+    want = {(a, b) for a, b in pairs if 10 * len(sets[a] & sets[b]) >= 7 * len(sets[a] | sets[b])}
+    rows = spark.createDataFrame([(n, len(sets[n]), t) for n, t in texts.items()], "class long, n_shingles long, text string")
+    found = shingle_join.verify(spark.createDataFrame(pairs, "a long, b long"), rows, rule).collect()
+    assert len(found) == len(want) and {(r["a"], r["b"]) for r in found} == want and 0 < len(want) < len(pairs)
