@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from filmloom.models import blocks, explicit
+from filmloom.models import blocks, explicit, linear
 
 PAIR = "user_id bigint, movie_id bigint"
 
@@ -98,3 +98,17 @@ def test_every_size_is_a_whole_fit(spark):
         assert len(lists) == 4 and all(r.user_id == new for r in got)
         assert sorted(lists.values()) == pytest.approx(sorted(estimates.values())[-4:], abs=1e-5)
         assert all(estimates[m] == pytest.approx(e, abs=1e-5) for m, e in lists.items())
+
+
+def test_svd_rounds_shuffle_nothing(spark, monkeypatch):
+    """Products of the rounds are jobs over block files, not sparse products by shuffle; values as in numpy."""
+    rng = np.random.default_rng(10)
+    matrix = (rng.random((40, 25)) < 0.3).astype(float)
+    matrix[0], matrix[:, 0] = 1, 1
+    pairs = spark.createDataFrame([(3 * int(u) + 10**10, int(i)) for u, i in np.argwhere(matrix)], PAIR)
+    monkeypatch.setattr(linear, "spread", None)
+    users, items, values = linear.train_svd(pairs, k=3, tol=1e-6)
+    assert np.allclose(values, np.linalg.svd(matrix)[1][:3], rtol=1e-5)
+    left, right = (np.array([r.vec for r in t.orderBy(key).collect()]) for t, key in ((users, "user_id"), (items, "movie_id")))
+    u, s, vt = np.linalg.svd(matrix)
+    assert np.allclose(left @ right.T, (u[:, :3] * s[:3]) @ vt[:3], atol=1e-3)
