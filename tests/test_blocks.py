@@ -1,10 +1,13 @@
 """Block files: products, solves and fits over them against plain versions on rows of their own."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from filmloom.models import blocks, explicit, linear
+from filmloom.models import blocks, explicit, graph, linear
+from filmloom.operators.relational import index_ids
 
 PAIR = "user_id bigint, movie_id bigint"
 
@@ -112,3 +115,43 @@ def test_svd_rounds_shuffle_nothing(spark, monkeypatch):
     left, right = (np.array([r.vec for r in t.orderBy(key).collect()]) for t, key in ((users, "user_id"), (items, "movie_id")))
     u, s, vt = np.linalg.svd(matrix)
     assert np.allclose(left @ right.T, (u[:, :3] * s[:3]) @ vt[:3], atol=1e-3)
+
+
+def test_block_draws_are_those_of_the_joins(spark):
+    """Each block's negatives against ``sample_negatives``: nearly sated users and one with every film among them."""
+    rng = np.random.default_rng(11)
+    rows = [(u, 2 * i + 5) for u in range(12) for i in range(40) if rng.random() < 0.2]
+    rows += [(50, 2 * i + 5) for i in range(39)] + [(51, 2 * i + 5) for i in range(40)]
+    pairs = spark.createDataFrame(rows, PAIR).distinct()
+    users, films = index_ids(pairs, "user_id", "_user"), index_ids(pairs, "movie_id", "_item")
+    numbered = pairs.join(users, "user_id").join(films, "movie_id")
+    store, n = blocks.BlockStore(spark), users.count()
+    held = store.write_edges(numbered, "_user", "_item", None, 5, n)
+    names = store.write_keys(users, "_user", "user_id", 5, n), store.write_keys(films, "_item", "movie_id", 9, 40)
+    user = {r._user: r.user_id for r in users.collect()}
+    film = {r._item: r.movie_id for r in films.collect()}
+    for epoch in (0, 3):
+        want = {tuple(r) for r in graph.sample_negatives(pairs, films.select("movie_id"), epoch, 42).select("user_id", "movie_id", "neg_id").collect()}
+        found = [graph.draw_block(held, b, *names, epoch, 42, 3) for b in range(len(held.paths))]
+        got = {(user[u], film[i], film[j]) for own in found for u, i, j, _ in zip(*own)}
+        assert got == want and len(want) == len(set(rows)) - 40
+        assert all((np.diff(own[3]) >= 0).all() for own in found)
+    store.close()
+
+
+def test_an_epoch_has_a_step_for_each_batch_of_triples(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    pairs = spark.createDataFrame([(u, i) for u in range(30) for i in range(20) if rng.random() < 0.5], PAIR)
+    asked, epoch = [], graph._epoch
+    monkeypatch.setattr(graph, "_epoch", lambda walk, start, triples, steps, *more: asked.append(steps) or epoch(walk, start, triples, steps, *more))
+    model = graph.train_graph(pairs, dim=4, layers=1, lr=0.05, epochs=2, batch_size=40)
+    n = math.ceil(pairs.count() / 40)
+    assert n > 5 and [len(steps) for steps in asked] == [n, n] and asked[1][-1][1] == 2 * n
+    assert model.losses[1] < model.losses[0] and model.users.count() == 30
+    from filmloom.workload import models
+
+    monkeypatch.setattr(models, "split", lambda spark, d: (pairs, None))
+    made = []
+    monkeypatch.setattr(graph, "train_graph", lambda pairs, **settings: made.append(settings) or model)
+    models.train_graph_bpr(spark, "")
+    assert made[0].get("batches") is None and made[0]["batch_size"] == 8192 and made[0]["epochs"] == 10
