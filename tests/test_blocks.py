@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from filmloom.models import blocks, explicit, graph, linear
+from filmloom.operators import scoring
 from filmloom.operators.relational import index_ids
 
 PAIR = "user_id bigint, movie_id bigint"
@@ -155,3 +156,23 @@ def test_an_epoch_has_a_step_for_each_batch_of_triples(spark, monkeypatch):
     monkeypatch.setattr(graph, "train_graph", lambda pairs, **settings: made.append(settings) or model)
     models.train_graph_bpr(spark, "")
     assert made[0].get("batches") is None and made[0]["batch_size"] == 8192 and made[0]["epochs"] == 10
+
+
+def test_rows_of_unknown_items_are_left_out_before_any_shuffle(spark, monkeypatch):
+    """Ratings of films without a vector go at the scan; lists and vectors stay the same."""
+    rng = np.random.default_rng(13)
+    rows = [(u, i, float(rng.integers(1, 6))) for u in range(12) for i in range(60) if rng.random() < 0.5]
+    raw = spark.createDataFrame(rows, PAIR + ", rating double").cache()
+    items = spark.createDataFrame([(i, rng.normal(size=3).tolist()) for i in range(0, 20, 2)], "movie_id bigint, vec array<double>").cache()
+    ratings = raw.groupBy("user_id", "movie_id").agg(F.max("rating").alias("rating"))
+    plan = scoring.of_known(ratings, items, "movie_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("Join LeftSemi")
+
+    def found():
+        vectors = linear.fold_in(ratings, items, size=3)
+        lists = scoring.score_all_pairs(vectors, items, 4, seen=ratings.select("user_id", "movie_id"))
+        return {(r.user_id, r.movie_id, r.rank, r.score) for r in lists.collect()}
+
+    few = found()
+    monkeypatch.setattr(scoring, "KNOWN_ITEMS", 0)
+    assert few and few == found()
